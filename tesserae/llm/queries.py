@@ -25,6 +25,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tesserae.llm.pii import digest
+
+    return digest(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tesserae.llm.toxicity import assess
+
+    return assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tesserae.llm.sharding import OUTPUT, shard
 
