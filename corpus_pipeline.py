@@ -1,4 +1,62 @@
-STAGES = []
+"""Documents made ready for training: a chain of stages, each written as Parquet and read again by the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tesserae.llm.common import table, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Items of the benchmark that a document may not hold a window of; one is enough here.
+LEAKED_ITEMS = 1
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the network, fitted on the labelled rows of ``docs``, scores at the threshold or above."""
+    from tesserae.llm.toxicity import THRESHOLD, score, train
+
+    net = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, net).where(F.col("score") < THRESHOLD).select(COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each SimHash component."""
+    from tesserae.llm.simhash import deduplicate
+
+    return deduplicate(docs).select(COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    from tesserae.llm.decontaminate import clean
+
+    return clean(docs, table(spark, sf_dir, "benchmark"), min_items=LEAKED_ITEMS).select(COLUMNS)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask personal data and what discloses it; every document stays."""
+    from tesserae.llm.pii import sanitise
+
+    return sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode: the documents with the pieces of their best segmentation and the scores of the N best."""
+    from tesserae.llm.pieces import encoded
+
+    return encoded(docs).select(*COLUMNS, "pieces", "scores")
+
+
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pii", pii), ("sentencepiece", sentencepiece)]
+
+#: SQL can't express the network, the fingerprints' components or the piece search; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the whole of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

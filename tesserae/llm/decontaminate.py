@@ -110,3 +110,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: i
             F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_copy"),
         ).drop("_copy")
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated; rows without an id stay."""
+    found = decontaminate(docs, items, size, min_items).where("contaminated and doc_id is not null")
+    bad = written(found.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 8 bytes each
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")

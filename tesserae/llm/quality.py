@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 WORD, SPACE = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
-#: Rows, at most, on which costs and selectivities are estimated.
-SAMPLE_ROWS = 1000
+#: Rows, at most, on which costs and selectivities are estimated, and the bytes of the longest text among them.
+SAMPLE_ROWS, SAMPLE_BYTES = 1000, 1 << 16
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED = 10, 20
 MAX_SYMBOLS_PER_WORD, MAX_UPPER, MAX_DUP_LINES, MEAN_WORD = 0.1, 0.4, 0.5, (2, 12)
@@ -87,8 +87,8 @@ def rules() -> dict[str, Column]:
 
 def order(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """The rules' names by estimated rejections per second, best first."""
-    sample = docs.select("doc_id", "text").limit(sample_rows)
-    base = measured(sample.coalesce(1))
+    some = docs.where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text")
+    base = measured(docs.sparkSession.createDataFrame(some.limit(sample_rows).collect(), some.schema).coalesce(1))
     gains = {}
     for name, rule in rules().items():
         one = base.agg(F.avg(rule.cast("double")).alias("rejects"), F.count("*").alias("n"))

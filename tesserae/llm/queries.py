@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tesserae.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tesserae.llm.pieces import digest
+
+    return digest(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tesserae.llm.decontaminate import decontaminate
 

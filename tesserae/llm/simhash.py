@@ -175,3 +175,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE,
     roots = classes.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
     known = join_hot(classes.select("fp", "n", "root"), roots, "root", "members").select("fp", "n", "component_id")
     return join_hot(rows, known, "fp", "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the smallest id stays, once.
+
+    Rows without an id can't be told apart and stay.
+    """
+    found = written(near_duplicates(docs).select("doc_id", "component_id"), "components")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    if gone.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 8 bytes each
+        gone = F.broadcast(gone)
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    if again.take(1):
+        left = left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    return left
