@@ -43,6 +43,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tesserae.llm.substrings import digest
+
+    return digest(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tesserae.llm.sharding import OUTPUT, shard
 
