@@ -24,6 +24,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate, chain, count
 
 import numpy as np
@@ -185,6 +186,12 @@ class Model:
         return text[1:] if text[:1] == " " else text
 
 
+@lru_cache(1)
+def model_of(data: bytes, n: int) -> Model:
+    """One for all tasks of a worker, as the segments that it has met serve them all."""
+    return Model(data, n)
+
+
 def model_bytes(path: str | None = None) -> bytes:
     """Of the model file; the default is the public one of this machine."""
     if path is None:
@@ -201,7 +208,7 @@ def encoded(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(data.value, n)
+        model = model_of(data.value, n)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -218,7 +225,7 @@ def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(data.value, n)
+        model = model_of(data.value, n)
         names = [str(i) for i in range(len(model.pieces))]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
