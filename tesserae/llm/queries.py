@@ -31,6 +31,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tesserae.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tesserae.llm.simhash import near_duplicates
 
