@@ -63,15 +63,17 @@ def candidates(docs: DataFrame, tokens: DataFrame, widths: list[int], size: int,
     if len(widths) == 1:
         at = at.withColumn("_token", shingle("_ws", F.col("_p"), widths[0]))
     else:
-        at = at.withColumn("_token", F.explode(F.array(*[shingle("_ws", F.col("_p"), w) for w in widths])))
+        tokens_here = F.array(*[shingle("_ws", F.col("_p"), w) for w in widths])
+        at = at.select("*", F.posexplode(tokens_here).alias("_j", "_token")).where("_p > 0 or _j = 0").drop("_j")
     first = F.col("_p") == 0
-    if small:
-        held = at.join(F.broadcast(tokens.select("_token", F.lit(True).alias("_in"))), "_token", "left").where(first | F.col("_in"))
-    else:
-        held = at.where(~first).join(tokens, "_token", "left_semi").unionByName(at.where(first))
     begin = F.greatest(F.col("_p") - (size - 1), F.lit(1))
     near = F.when(~first, F.slice("_ws", begin + 1, F.col("_p") - begin + size))
-    return held.select("doc_id", "_t", "_p", "_token", (F.col("_p") - begin).alias("_before"), near.alias("_near"), F.when(first, F.size("_ws") - 1).alias("_n"))
+    out = ["doc_id", "_t", "_p", "_token", (F.col("_p") - begin).alias("_before"), near.alias("_near"), F.when(first, F.size("_ws") - 1).alias("_n")]
+    if small:
+        held = at.join(F.broadcast(tokens.select("_token", F.lit(True).alias("_in"))), "_token", "left").where(first | F.col("_in"))
+        return held.select(*out)
+    # a place leaves its document with the words near it alone, as all its words would follow every one of them
+    return at.where(~first).select(*out).join(tokens, "_token", "left_semi").select("doc_id", "_t", "_p", "_token", "_before", "_near", "_n").unionByName(at.where(first).select(*out))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
