@@ -44,7 +44,7 @@ def byte_letters() -> list[str]:
 class Counter:
     """Prefix tables for a byte-level BPE vocabulary with word ends."""
 
-    def __init__(self, data: str, cached: int = 150_000):
+    def __init__(self, data: str, cached: int = 400_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -176,8 +176,8 @@ class Counter:
         """Of a word, the token count of each prefix of one code point or more, each as a word of its own."""
         return np.array(self.state(word)[3], np.uint32)
 
-    def piece(self, piece: str) -> tuple[int, bytes]:
-        """(tokens, table of prefixes) of a piece with the blanks before it."""
+    def piece(self, piece: str) -> tuple[int, bytes, int]:
+        """(tokens, table of prefixes, code points) of a piece with the blanks before it."""
         if (got := self.known.get(piece)) is None:
             got = self.before.get(piece)
             if got is None:
@@ -185,7 +185,7 @@ class Counter:
                 table = self.word(word) if word else np.empty(0, np.uint32)
                 if word in ("'re", "'ve", "'ll"):  # a quote and a letter are two words until the third comes
                     table[1] = table[0] + self.word(word[1])[0]
-                got = (int(table[-1]) if word else 0, bytes(4 * (len(piece) - len(word))) + table.tobytes())
+                got = (int(table[-1]) if word else 0, bytes(4 * (len(piece) - len(word))) + table.tobytes(), len(piece))
             if len(self.known) >= self.cached:
                 self.known, self.before = {}, self.known
             self.known[piece] = got
@@ -196,10 +196,10 @@ class Counter:
         text = self.blank.sub(" ", text).lower() if text.isascii() else self.normal(text)
         if not text:
             return np.empty(0, np.int64)
-        found = [self.piece(p) for p in self.split(text)]
-        counts = np.fromiter((c for c, _ in found), np.int64, len(found))
-        within = np.frombuffer(b"".join([b for _, b in found]), np.uint32)
-        return within + np.repeat(np.cumsum(counts) - counts, [len(b) >> 2 for _, b in found])
+        known = self.known.get
+        counts, parts, sizes = zip(*[known(p) or self.piece(p) for p in self.split(text)], strict=True)
+        total = np.array(counts, np.int64)
+        return np.frombuffer(b"".join(parts), np.uint32) + np.repeat(np.cumsum(total) - total, sizes)
 
     def table(self, text: str | None) -> np.ndarray:
         """Entry k is the number of tokens of the first k code points of the normalised text."""
