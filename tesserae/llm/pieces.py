@@ -1,15 +1,14 @@
 """SentencePiece encoding and decoding by N-best search over the piece lattice.
 
-A text becomes segments between white-space marks; no piece reaches over the
-start of a word, so the lattice of a text is that of its segments in a row.
+A text is cut where no piece of the model can reach over (before a word, between
+a word and the sign after it), so its lattice is that of its segments in a row.
 In a segment's lattice forward Viterbi gives, for every position, the best
 score from the start.  Those scores are exact heuristics for A* from the end:
 hypotheses leave the queue in order of their full scores, so the first N that
 reach the start are the N best.  A text's N best follow from its segments' by
 one more best-first search over how much each alternative loses.
 
-Pieces and scores are the model's own: sums of scores rank segmentations, ties
-going to the earlier one in order of piece ids.  A character that no piece
+Pieces and scores are the model's own: sums of scores rank segmentations.  A character that no piece
 covers has a score below every piece's (``UNKNOWN`` under the least) and, if
 the model has byte pieces, comes out as its bytes.  Decoding gives the text
 back exactly, U+2581 excepted, which reads as a blank.
@@ -33,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK, UNKNOWN = "▁", 10.0
-SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 def fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -64,7 +62,7 @@ def fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Model:
     """Pieces and scores of a model file, and N-best search over them."""
 
-    def __init__(self, data: bytes, n: int = 4, cached: int = 100_000):
+    def __init__(self, data: bytes, n: int = 4, cached: int = 400_000):
         self.n, self.cached, self.known, self.before = n, cached, {}, {}
         self.pieces: list[str] = []
         self.score: dict[str, tuple[float, int]] = {}
@@ -85,103 +83,167 @@ class Model:
             elif kind == 2:
                 self.unk = i
         self.low = low - UNKNOWN
-        self.longest = max(map(len, self.score), default=1)
-        self.starts = {t[:k] for t in self.score for k in range(1, len(t))}
-        self.crosses = any(MARK in t.lstrip(MARK) for t in self.score)
-
-    def lattice(self, s: str) -> list[list[tuple[int, float, int]]]:
-        """For each end, the edges into it: (start, score, piece id; -1 for an uncovered character)."""
-        into: list[list[tuple[int, float, int]]] = [[] for _ in range(len(s) + 1)]
-        score, starts = self.score, self.starts
-        for a in range(len(s)):
-            single = False
-            for b in range(a + 1, min(len(s), a + self.longest) + 1):
-                t = s[a:b]
-                if (got := score.get(t)) is not None:
-                    into[b].append((a, *got))
-                    single |= b == a + 1
-                if t not in starts:
+        value = {i: bytes([b]) for b, i in self.bytes.items()}
+        self.raw = [value[i] if i in value else t.encode() for i, t in enumerate(self.pieces)]
+        self.trie: dict = {}
+        for text, got in self.score.items():
+            node = self.trie
+            for c in text:
+                node = node.setdefault(c, {})
+            node[""] = got
+        self.singles = {t for t in self.score if len(t) == 1}
+        self.cut = self.cuts()
+
+    def cuts(self) -> re.Pattern:
+        """Where a text falls into segments: no piece reaches over these places.
+
+        They lie before marks, if in pieces marks follow nothing but marks;
+        between a letter and a sign that follows no letter in any piece; and
+        around line ends that are in no piece.
+        """
+        before: dict[str, set[str]] = {}
+        for t in self.score:
+            for x, y in zip(t, t[1:], strict=False):
+                before.setdefault(y, set()).add(x)
+        known = {c for t in self.score for c in t}
+        letters = "".join(sorted(c for c in known if c.isalpha()))
+        signs = "".join(re.escape(c) for c in sorted(known) if not c.isalnum() and c != MARK and not any(x.isalpha() for x in before.get(c, ())))
+        strange = "".join(c for c in "\n\r\t\x0b\x0c" if c not in known)
+        places = [f"(?<=[{letters}])(?=[{signs}])"] if letters and signs else []
+        places += [f"(?=[{strange}])", f"(?<=[{strange}])"] if strange else []
+        self.by_word = not before.get(MARK, set()) - {MARK}
+        if self.by_word:
+            places.append(f"(?<=[^{MARK}])(?={MARK})")
+        return re.compile("|".join(places) or "(?!)")
+
+    def lattice(self, s: str) -> tuple[list[float], list[list[tuple[float, int, int, float]]]]:
+        """Forward Viterbi scores of all positions, and the edges into each: (-(score up to its end), piece id, start, own score).
+
+        Id -1 is a character that no piece covers.
+        """
+        n = len(s)
+        forward, into = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
+        for a in range(n):
+            node, so_far = self.trie, forward[a]
+            for b in range(a, n):
+                node = node.get(s[b])
+                if node is None:
                     break
-            if not single:
-                into[a + 1].append((a, self.low, -1))
-        return into
-
-    def best(self, s: str) -> tuple[float, float, tuple[int, ...], list[tuple[float, tuple[int, ...]]]]:
-        """Of a segment: what its second best loses, the best's score and ids, and all N best."""
+                if (got := node.get("")) is not None:
+                    score, i = got
+                    total = so_far + score
+                    into[b + 1].append((-total, i, a, score))
+                    if total > forward[b + 1]:
+                        forward[b + 1] = total
+            if s[a] not in self.singles:
+                into[a + 1].append((-so_far - self.low, -1, a, self.low))
+                forward[a + 1] = max(forward[a + 1], so_far + self.low)
+        return forward, into
+
+    def search(self, s: str, n: int) -> tuple[list[tuple[float, tuple[int, ...]]], float]:
+        """The ``n`` best segmentations of a segment, (score, piece ids), best first; and the score of the next.
+
+        A hypothesis is a path from the end and the edge that it takes next;
+        its priority is its own score and the forward score of what is left,
+        which is exact, so each that leaves the queue is the next best and its
+        way on is along the best edges.  Edges second to them start the
+        hypotheses that join the queue.  Of ties the smaller piece id goes
+        first, from the end.
+        """
+        _, into = self.lattice(s)
+        tick, out = 0, []
+        into[-1].sort()
+        queue = [(into[-1][0][0], 0, len(s), 0, None, 0.0)]
+        while queue and len(out) < n:
+            _, _, at, k, behind, gone = heapq.heappop(queue)
+            while True:
+                edges = into[at]
+                if k + 1 < len(edges):
+                    tick += 1
+                    heapq.heappush(queue, (edges[k + 1][0] - gone, tick, at, k + 1, behind, gone))
+                _, i, a, score = edges[k]
+                behind, gone, at, k = (i, a, at, behind), gone + score, a, 0
+                if not at:
+                    break
+                into[at].sort()
+            path = []
+            while behind is not None:
+                path.append(behind[:3])
+                behind = behind[3]
+            out.append((gone, self.ids(s, path)))
+        return out, -queue[0][0] if queue else -np.inf
+
+    def best(self, s: str) -> tuple[float, float, tuple[int, ...]]:
+        """Of a segment, or a few in a row: what their second best loses, the best's score and ids."""
         if (got := self.known.get(s)) is None:
-            got = self.before.get(s) or self.search(s)
+            if (got := self.before.get(s)) is None:
+                parts = [p for p in self.cut.split(s) if p]
+                if len(parts) > 1:
+                    found = [self.best(p) for p in parts]
+                    got = (min(f[0] for f in found), sum(f[1] for f in found), tuple(chain.from_iterable(f[2] for f in found)))
+                else:
+                    [(score, ids)], second = self.search(s, 1)
+                    got = (score - second, score, ids)
             if len(self.known) >= self.cached:  # what has been met since the last time stays a while
                 self.known, self.before = {}, self.known
             self.known[s] = got
         return got
 
-    def search(self, s: str) -> tuple[float, float, tuple[int, ...], list[tuple[float, tuple[int, ...]]]]:
-        into = self.lattice(s)
-        forward = [0.0] + [-np.inf] * len(s)
-        for b in range(1, len(s) + 1):
-            forward[b] = max(forward[a] + x for a, x, _ in into[b])
-        out: list[tuple[float, tuple[int, ...]]] = []
-        queue = [(-forward[len(s)], (), len(s), 0.0)]  # (-(heuristic + behind), pieces behind, position, score behind)
-        while queue and len(out) < self.n:
-            total, behind, at, gone = heapq.heappop(queue)
-            if at == 0:
-                out.append((gone, self.ids(s, behind)))
-                continue
-            for a, x, i in into[at]:
-                heapq.heappush(queue, (-(forward[a] + gone + x), ((i, a, at), *behind), a, gone + x))
-        return (out[0][0] - out[1][0] if len(out) > 1 else np.inf, *out[0], out)
-
-    def ids(self, s: str, path: tuple) -> tuple[int, ...]:
+    def ids(self, s: str, path: list[tuple[int, int, int]]) -> tuple[int, ...]:
         out: list[int] = []
         for i, a, b in path:
-            out += [i] if i >= 0 else [self.bytes[x] for x in s[a:b].encode("utf-8", "surrogatepass")] if self.bytes else [self.unk]
+            if i >= 0:
+                out.append(i)
+            else:
+                out += [self.bytes[x] for x in s[a:b].encode("utf-8", "surrogatepass")] if self.bytes else [self.unk]
         return tuple(out)
 
     def segments(self, text: str) -> list[str]:
-        """The text with marks for blanks and one in front, cut before each word."""
-        marked = MARK + text.replace(" ", MARK)
-        return [marked] if self.crosses else SEGMENT.findall(marked)
+        """The text with marks for blanks and one in front, in segments."""
+        if self.by_word and "  " not in text and text[0] != " ":
+            return (MARK + text.replace(" ", f" {MARK}")).split(" ")
+        return [p for p in self.cut.split(MARK + text.replace(" ", MARK)) if p]
 
     def encode(self, text: str | None) -> list[tuple[float, np.ndarray]]:
         """The N best segmentations of a text: (score, piece ids)."""
         if not text:
             return [(0.0, np.empty(0, np.int32))]
-        found = [self.best(s) for s in self.segments(text)]
+        known, segments = self.known.get, self.segments(text)
+        found = [known(s) or self.best(s) for s in segments]
         best = [f[2] for f in found]
         ends = [0, *accumulate(map(len, best))]
         first = np.fromiter(chain.from_iterable(best), np.int32, ends[-1])
-        top = sum(f[1] for f in found)
+        top = sum([f[1] for f in found])
         # no more than N - 1 segments depart from their best in any of the N best
-        losses = heapq.nsmallest(self.n - 1, ((f[0], k) for k, f in enumerate(found) if f[0] < np.inf))
-        options = [(k, [found[k][1] - score for score, _ in found[k][3]]) for _, k in losses]
+        losses = np.fromiter([f[0] for f in found], np.float64, len(found))
+        some = [k for k in np.argsort(losses, kind="stable")[: self.n - 1].tolist() if losses[k] < np.inf]
+        others = {k: self.search(segments[k], self.n)[0] for k in some}
+        options = [[found[k][1] - score for score, _ in others[k]] for k in some]
         out, tick = [], count()
         queue = [(0.0, next(tick), (), 0)]
-        # a state: loss, choices so far as (segment, alternative), next option that may still change
+        # a state: loss, choices so far as (option, alternative), next option that may still change
         while queue and len(out) < self.n:
             loss, _, chosen, start = heapq.heappop(queue)
-            out.append((top - loss, self.patched(first, ends, found, chosen)))
-            if chosen:  # the next alternative of the last segment chosen
+            out.append((top - loss, self.patched(first, ends, others, [(some[k], alt) for k, alt in chosen])))
+            if chosen:  # the next alternative of the last one chosen
                 k, alt = chosen[-1]
-                lost = options[start - 1][1]
-                if alt + 1 < len(lost):
-                    heapq.heappush(queue, (loss - lost[alt] + lost[alt + 1], next(tick), (*chosen[:-1], (k, alt + 1)), start))
-            for at in range(start, len(options)):
-                k, lost = options[at]
-                heapq.heappush(queue, (loss + lost[1], next(tick), (*chosen, (k, 1)), at + 1))
+                if alt + 1 < len(options[k]):
+                    heapq.heappush(queue, (loss - options[k][alt] + options[k][alt + 1], next(tick), (*chosen[:-1], (k, alt + 1)), start))
+            for k in range(start, len(options)):
+                heapq.heappush(queue, (loss + options[k][1], next(tick), (*chosen, (k, 1)), k + 1))
         return out
 
     @staticmethod
-    def patched(first: np.ndarray, ends: list[int], found: list, chosen: tuple) -> np.ndarray:
+    def patched(first: np.ndarray, ends: list[int], others: dict, chosen: list[tuple[int, int]]) -> np.ndarray:
         parts, at = [], 0
         for k, alt in sorted(chosen):
-            parts += [first[at : ends[k]], np.array(found[k][3][alt][1], np.int32)]
+            parts += [first[at : ends[k]], np.array(others[k][alt][1], np.int32)]
             at = ends[k + 1]
         return np.concatenate([*parts, first[at:]]) if parts else first
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids; byte pieces join into characters."""
-        value = {i: b for b, i in self.bytes.items()}
-        raw = b"".join(bytes([value[i]]) if i in value else self.pieces[i].encode() for i in np.asarray(ids).tolist())
+        raw = b"".join(map(self.raw.__getitem__, np.asarray(ids).tolist()))
         text = raw.decode("utf-8", "surrogatepass" if b"\xed" in raw else "replace").replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 
@@ -221,19 +283,18 @@ def encoded(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
 
 
 def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
-    """doc_id, n_pieces, pieces_sha256 (ids, comma-joined), nbest_sha256 (each best's ids, joined by |), scores and round_trip."""
+    """doc_id, n_pieces, pieces_sha256 (of the best's ids, four bytes each, low first), nbest_sha256 (of all bests' in a row), scores and round_trip."""
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(data.value, n)
-        names = [str(i) for i in range(len(model.pieces))]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for x in part.column("text"):
                     best = model.encode(x.as_py())
-                    shown = [",".join(map(names.__getitem__, ids.tolist())).encode() for _, ids in best]
-                    whole = hashlib.sha256(b"|".join(shown)).hexdigest()
+                    shown = [ids.astype("<i4").tobytes() for _, ids in best]
+                    whole = hashlib.sha256(b"".join(shown)).hexdigest()
                     same = model.decode(best[0][1]) == (x.as_py() or "").replace(MARK, " ")
                     rows.append((len(best[0][1]), hashlib.sha256(shown[0]).hexdigest(), whole, [s for s, _ in best], same))
                 cols = list(zip(*rows, strict=True))
