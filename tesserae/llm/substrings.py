@@ -67,24 +67,28 @@ def stretches(texts: list[bytes], docs: np.ndarray, hashes: np.ndarray) -> tuple
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     end = np.cumsum(size)
     total = int(end[-1]) if len(end) else 0
-    starts = np.concatenate([np.arange(e - s, e - LENGTH + 1) for e, s in zip(end.tolist(), size.tolist(), strict=True) if s >= LENGTH] or [np.empty(0, np.int64)])
+    starts = np.concatenate([np.arange(e - s, e - LENGTH + 1, dtype=np.int32) for e, s in zip(end.tolist(), size.tolist(), strict=True) if s >= LENGTH] or [np.empty(0, np.int32)])
     if not len(starts):
         return np.empty(0, ROW), np.empty(0, np.uint64)
     data = np.frombuffer(b"".join(texts) + bytes(8 * WIDTH + 64), np.uint8)
     eight = eights(data, total + 8 * WIDTH + 8)
-    h = mixed(eight[: total + 40] * np.uint64(0xC2B2AE3D27D4EB4F) + eight[GRAM - 8 : total + 40 + GRAM - 8] * np.uint64(0x165667B19E3779F9))
+    grams = lambda at: mixed(eight[at] * np.uint64(0xC2B2AE3D27D4EB4F) + eight[at + GRAM - 8] * np.uint64(0x165667B19E3779F9))
     place = np.uint64((1 << 28) - 1)
-    least = (h & ~place) | np.arange(len(h), dtype=np.uint64)
+    least = np.empty(total + 40, np.uint64)
+    for k in range(0, len(least), 1 << 20):  # in parts, as each step makes new arrays
+        at = np.arange(k, min(k + (1 << 20), len(least)))
+        least[k : k + (1 << 20)] = (grams(at) & ~place) | at.astype(np.uint64)
     done = 1
     while 2 * done <= SPAN:
         least = np.minimum(least[:-done], least[done:])
         done *= 2
     rest = SPAN - done
     least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-    anchor = (least[starts] & place).astype(np.int64)
+    anchor = (least[starts] & place).astype(np.int32)
+    del least
     new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1))))
     n = np.diff(np.append(new, len(starts)))
-    at, anchor = starts[new], anchor[new]
+    at, anchor = starts[new].astype(np.int64), anchor[new].astype(np.int64)
     owner = np.searchsorted(end, at, "right")
     rows = np.empty(len(at), ROW)
     length = n + LENGTH - 1
@@ -94,7 +98,7 @@ def stretches(texts: list[bytes], docs: np.ndarray, hashes: np.ndarray) -> tuple
         rows["words"][:, k] = eight[at + 8 * k] & mask
     rows["doc"], rows["text"], rows["at"] = docs[owner], hashes[owner], at - (end - size)[owner]
     rows["left"], rows["n"] = anchor - at, n
-    return rows, h[anchor]
+    return rows, grams(anchor)
 
 
 def first_of_each(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
