@@ -1,18 +1,18 @@
 """Personal data: patterns with checks, and information-theoretic sanitisation of what gives them away.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  Each
-distinct value found is a protected entity.  Over the whole corpus the terms
-(words) within ``REACH`` words of an entity's mentions are counted, and the
+distinct value found is a protected entity.  Over the whole corpus the
+documents that hold a term (word), an entity, and both are counted, and the
 pointwise mutual information of term and entity,
 ``log(p(term, entity) / (p(term) p(entity)))``, is held against the entity's
 own information ``-log p(entity)``.  A term that yields the share ``ALPHA`` of
-it or more, seen beside the entity in ``SUPPORT`` documents or more, discloses
-the entity: where it stands near the entity it is generalised to its class,
-or, where it yields everything (``REMOVE``), removed.
+it or more, in ``SUPPORT`` documents of the entity or more, discloses the
+entity: wherever it stands in a document that holds the entity it is
+generalised to its class, or, where it yields everything (``REMOVE``), removed.
 
 Defined results: a null or empty text has no spans; repeated rows count as
 documents and get equal results; null ids are kept; spans are code points, end
-exclusive; a term inside a base span adds none.
+exclusive; a term inside a base span adds none and isn't counted there.
 """
 
 from __future__ import annotations
@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import written
+from tesserae.llm.common import join_hot, written
 
 KINDS = ["email", "ip", "card", "phone"]
-REACH, SUPPORT, ALPHA, REMOVE = 4, 2, 0.9, 0.999
-#: Candidate terms up to which they are broadcast (about 40 bytes each).
+SUPPORT, ALPHA, REMOVE = 2, 0.9, 0.999
+#: Terms up to which they are broadcast (about 40 bytes each).
 BROADCAST_TERMS = 200_000
-#: Documents with spans up to which those are broadcast (about 200 bytes each).
-BROADCAST_FOUND = 200_000
+#: Spans up to which they are broadcast (about 100 bytes each with their documents).
+BROADCAST_FOUND = 400_000
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -82,83 +82,108 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, str, int, int]]:
-    """(which span, lower-cased term, start, end) for the terms within ``REACH`` words of each span."""
-    held = bytearray(len(text) + 1)
+def outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, bool]]:
+    """(lower-cased term, start, end, whether it is clear of all ``spans``) for each term of the text."""
+    held = bytearray(len(text))
     for _, a, b in spans:
         held[a:b] = b"\1" * (b - a)
-    for k, (_, a, b) in enumerate(spans):
-        left, at = [], a
-        while len(left) < REACH and at > 0:  # words are found backwards in growing pieces
-            begin, reach = max(0, at - 200), at
-            while begin > 0 and text[begin - 1].isalnum():
-                begin -= 1
-            left = [m.span() for m in TERM.finditer(text, begin, reach)] + left
-            at = begin
-        right = []
-        for m in TERM.finditer(text, b):
-            right.append(m.span())
-            if len(right) == REACH:
-                break
-        for s, e in left[-REACH:] + right:
-            if not any(held[s:e]):
-                yield k, text[s:e].lower(), s, e
+    for m in TERM.finditer(text):
+        s, e = m.span()
+        yield m[0].lower(), s, e, held.find(1, s, e) < 0
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """One row for each base span (and one for each document, with a null kind): what was found, and the terms near it.
+    """One row for each base span, and one for each document, with a null kind.
 
-    ``doc_id, t`` name the document; rows are short, as terms carry no text.
+    The latter holds the distinct ``entities`` of a document with any, its
+    ``terms`` and those that it has ``inside`` base spans only.  ``doc_id, t``
+    name the document.
     """
-    schema = "doc_id long, t long, kind int, s int, e int, entity string, terms array<struct<term:string,s:int,e:int>>"
-    arrow = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("kind", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("entity", pa.string()), ("terms", pa.list_(pa.struct([("term", pa.string()), ("s", pa.int32()), ("e", pa.int32())])))])
+    schema = "doc_id long, t long, kind int, s int, e int, entities array<string>, terms array<string>, inside array<string>"
+    words = pa.list_(pa.string())
+    arrow = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("kind", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("entities", words), ("terms", words), ("inside", words)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, t, text in zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), (x.as_py() for x in batch.column("text")), strict=True):
-                rows.append((doc, t, None, None, None, None, None))
                 if spans := base_spans(text):
-                    terms = [[] for _ in spans]
-                    for k, term, s, e in near_terms(text, spans):
-                        terms[k].append({"term": term, "s": s, "e": e})
-                    rows += [(doc, t, kind, s, e, f"{KINDS[kind]} {text[s:e].lower()}", terms[k]) for k, (kind, s, e) in enumerate(spans)]
+                    seen: tuple[set, set] = (set(), set())
+                    for term, _, _, clear in outside(text, spans):
+                        seen[clear].add(term)
+                    entities = {f"{KINDS[kind]} {text[s:e].lower()}" for kind, s, e in spans}
+                    rows.append((doc, t, None, None, None, list(entities), list(seen[1]), list(seen[0] - seen[1])))
+                    rows += [(doc, t, kind, s, e, None, None, None) for kind, s, e in spans]
+                else:
+                    rows.append((doc, t, *[None] * 6))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, schema)
 
 
-def disclosing(found: DataFrame, docs: DataFrame, support: int = SUPPORT, alpha: float = ALPHA) -> DataFrame:
-    """``entity``, ``term`` and ``share`` (of the entity's information that the term yields)."""
-    near = found.where("kind is not null").select("doc_id", "t", "entity", F.explode("terms.term").alias("term"))
-    both = near.groupBy("entity", "term", "doc_id", "t").agg(F.lit(1).alias("x")).groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
+def pairs(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """doc_id, t, copies (its rows), entity, n_entity and term: all terms of each distinct document with all its entities of ``support`` documents or more."""
+    held = found.where("size(entities) > 0").groupBy("doc_id", "t").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    each = held.select("doc_id", "t", "copies", F.explode("entities").alias("entity"))
+    known = written(each.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("_rows")).where(F.col("n_entity") >= support), "entities")
+    kept = join_hot(each, known, "entity", "_rows").where("n_entity is not null")
+    kept = kept.groupBy("doc_id", "t").agg(F.collect_list(F.struct("entity", "n_entity")).alias("_kept")).select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "_kept")
+    both = held.join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
+    return both.select("doc_id", "t", "copies", "terms", F.explode("_kept").alias("_e")).select("doc_id", "t", "copies", "_e.*", F.explode("terms").alias("term"))
+
+
+def disclosing(beside: DataFrame, found: DataFrame, docs: DataFrame, support: int = SUPPORT, alpha: float = ALPHA) -> DataFrame:
+    """``entity``, ``term``, ``share`` (of the entity's information that the term yields) and ``_rows``, from the ``pairs``."""
+    both = beside.groupBy("entity", "n_entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("_rows")).where(F.col("n_both") >= support)
     both = written(both, "pairs")
-    entities = found.where("kind is not null").groupBy("entity", "doc_id", "t").agg(F.lit(1).alias("x")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     wanted = both.select("term").distinct()
     few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+", -1), lambda w: w != ""))
-    seen = docs.where("text is not null").select(F.explode(words).alias("term"))
+    words = F.array_distinct(F.filter(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")), " ", -1), lambda w: w != ""))
+    seen = docs.where("text is not null").select(F.explode(words).alias("term"), F.lit(1).alias("n"))
+    seen = seen.unionByName(found.select(F.explode("inside").alias("term"), F.lit(-1).alias("n")))
     seen = seen.join(F.broadcast(wanted), "term", "left_semi") if few else seen
-    counts = seen.groupBy("term").agg(F.count("*").alias("n_term"))
+    counts = seen.groupBy("term").agg(F.sum("n").alias("n_term"))
     total = docs.count()
     n_term = F.greatest(F.coalesce("n_term", F.col("n_both")), "n_both")
     share = F.try_divide(F.log(F.col("n_both") * F.lit(float(total)) / (n_term * F.col("n_entity"))), F.log(F.lit(float(total)) / F.col("n_entity")))
-    return (
-        both.join(counts, "term", "left").join(entities, "entity")
-        .select("entity", "term", share.alias("share")).where(F.col("share") >= alpha)
-    )
+    return both.join(counts, "term", "left").select("entity", "term", share.alias("share"), "_rows").where(F.col("share") >= alpha)
+
+
+def places(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """``_d, _t, terms``: where each distinct document holds the terms that ``told`` (doc_id, t, told) lists for it."""
+    told = written(told.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "told"), "told")
+    if (told.agg(F.sum(F.size("told"))).first()[0] or 0) <= BROADCAST_TERMS:
+        told = F.broadcast(told)
+    schema = "_d long, _t long, terms array<struct<s:int,e:int,share:double>>"
+    arrow = pa.schema([("_d", pa.int64()), ("_t", pa.int64()), ("terms", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("share", pa.float64())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = []
+            for text, shares in zip((x.as_py() for x in batch.column("text")), (x.as_py() for x in batch.column("told")), strict=True):
+                share = {x["term"]: x["share"] for x in shares}
+                at.append([{"s": s, "e": e, "share": share[term]} for term, s, e, clear in outside(text, base_spans(text)) if clear and term in share])
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), batch.column("_t"), pa.array(at, arrow.field("terms").type)], schema=arrow)
+
+    texts = docs.where("text <> ''").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    both = texts.join(told, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t"))).select("_d", "_t", "text", "told")
+    return both.mapInArrow(run, schema).dropDuplicates(["_d", "_t"])
 
 
 def spans(docs: DataFrame, support: int = SUPPORT, alpha: float = ALPHA) -> DataFrame:
     """``doc_id, t, base, copies, terms``: a row for each distinct document, its number of rows and sorted arrays of its spans."""
     found = written(find(docs), "pii")
     base = found.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.when(F.col("kind").isNotNull(), F.struct("kind", "s", "e")))).alias("base"), F.count_if(F.col("kind").isNull()).cast("int").alias("copies"))
-    told = disclosing(found, docs, support, alpha)
-    near = found.where("kind is not null").select("doc_id", "t", "entity", F.explode("terms").alias("x")).select("doc_id", "t", "entity", "x.*")
-    marked = near.join(told, ["entity", "term"]).groupBy("doc_id", "t", "s", "e").agg(F.max("share").alias("share"))
-    terms = marked.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list(F.struct("s", "e", "share"))).alias("terms"))
-    terms = terms.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "terms")
+    beside = pairs(found, support)
+    told = written(disclosing(beside, found, docs, support, alpha).select(F.struct("entity", "term").alias("pair"), "share", "_rows"), "disclosing")
+    near = beside.select("doc_id", "t", F.struct("entity", "term").alias("pair"))
+    if told.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        near = near.join(F.broadcast(told), "pair")
+    else:
+        near = join_hot(near, told, "pair", "_rows").where("share is not null")
+    near = near.groupBy("doc_id", "t", F.col("pair.term").alias("term")).agg(F.max("share").alias("share"))
+    terms = places(docs, near.groupBy("doc_id", "t").agg(F.collect_list(F.struct("term", "share")).alias("told")))
     return base.join(terms, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")), "left").drop("_d", "_t")
 
 
@@ -196,7 +221,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` masked; all rows and columns stay."""
     found = spans(docs).where((F.size("base") > 0) | F.col("terms").isNotNull()).select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "base", "terms")
     found = written(found.select("_d", "_t", F.struct("base", "terms").alias("_found")), "found")
-    if found.limit(BROADCAST_FOUND + 1).count() <= BROADCAST_FOUND:
+    n = F.size("_found.base") + F.size(F.coalesce("_found.terms", F.array()))
+    if (found.agg(F.sum(n)).first()[0] or 0) <= BROADCAST_FOUND:
         found = F.broadcast(found)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
     both = docs.join(found, same, "left")

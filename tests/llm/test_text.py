@@ -148,6 +148,22 @@ def test_pii_digest_and_terms(spark):
     assert pii.sanitise(documents(spark)).count() == len(ROWS) and pii.digest(empty(spark)).count() == 0
 
 
+def test_pii_terms_of_the_whole_document(spark, monkeypatch):
+    far = "Quuxley spoke of the weather and of many other things in this house. Later quuxley gave q.quuxley@corp.example to us, then QUUXLEY left."
+    rows = [(k, far if k < 5 else "we write and spoke of the weather and of many other things in this house. Later some gave it to us, then they left.") for k in range(60)]
+    rows += [(100 + k, "write to q.quuxley@corp.example then") for k in range(3)]  # holds the term inside the address only
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    at = [m.span() for m in re.finditer("quuxley", far.lower())]
+    want = ",".join(["email:%d:%d" % (at[2][0] - 2, at[2][1] + 13), *["term:%d:%d" % x for x in (at[0], at[1], at[3])]])
+    for few in (pii.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(pii, "BROADCAST_TERMS", few)
+        monkeypatch.setattr(pii, "BROADCAST_FOUND", few)
+        told = {r.doc_id: r.spans for r in pii.digest(docs).collect()}
+        assert told[0] == want and told[9] == "" and told[100] == "email:9:31"
+        out = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+        assert "quuxley" not in out[0].lower() and out[9] == rows[9][1] and len(out) == len(rows)
+
+
 def test_network_gradient():
     net, rng = toxicity.Network(1), np.random.default_rng(0)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
