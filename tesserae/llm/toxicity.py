@@ -3,15 +3,18 @@
 A word enters twice: by a hashed word embedding and by the mean of hashed
 embeddings of its character n-grams.  A forward and a backward GRU read a
 window of words, attention pools their states, and a logistic layer scores
-the window.  A document's score is the highest over all its overlapping
-windows; every word of the text is in one at least.
+the window.  A document's score is the highest over all its windows of
+``WINDOW`` words, one from each word on.  A word of more than ``PART``
+characters stands for its parts of that length, each overlapping the next by
+``OVERLAP``, so that text without blanks has words and windows too.
 
 The network learns from a bounded sample of labelled rows: the ``MAX_TRAIN``
 rows with the smallest hash of their ids, per label.  Labels belong to
 documents, but toxic words to places, so training alternates as is usual for
 multiple instances: a positive document teaches through the window that now
 scores highest (at first by the log odds of its n-grams), negative ones through
-their worst windows and a seeded draw of the rest.
+their worst windows and a seeded draw of the rest.  Only for the fitting,
+windows begin ``TRAIN_STRIDE`` words apart.
 
 Defined results: a null, empty or wordless text is one window of padding and
 gets that window's score; repeated rows get equal scores; without positive or
@@ -28,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, STRIDE = 48, 32
+WINDOW, TRAIN_STRIDE = 48, 32
+PART, OVERLAP = 24, 12
 #: Labelled rows of each label, at most, that the network is fitted on.
 MAX_TRAIN = 1500
 THRESHOLD = 0.7
@@ -40,7 +44,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def tokens(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    words = (text or "").lower().split()
+    if not words or max(map(len, words)) <= PART:
+        return words
+    return [w[k : k + PART] for w in words for k in range(0, max(1, len(w) - OVERLAP), PART - OVERLAP)]
 
 
 class Network:
@@ -204,15 +211,52 @@ class Scorer:
             self.add(fresh)
         return np.fromiter(map(index.__getitem__, words), np.int32, len(words))
 
-    def logits(self, windows: np.ndarray) -> np.ndarray:
-        """Of rows of word ids, 0 being padding."""
-        out, h3 = [], 3 * HIDDEN
-        for at in range(0, len(windows), 1024):
-            w = windows[at : at + 1024].T
-            x = self.table[w]
-            out.append(self.net.pooled(x[..., :h3], x[..., h3:], (w > 0).astype(np.float32))[0])
+    def logits(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of the windows that begin at the ascending places ``at`` of the word ids, 0 being padding.
+
+        As ``Network.pooled``, with the places side by side: neighbouring windows are slices.
+        """
+        x, pad = np.ascontiguousarray(self.table[ids].T), (ids == 0) * np.float32(-1e4)
+        out = []
+        for k in range(0, len(at), 2048):
+            some = at[k : k + 2048]
+            begin, span = some[0], some[-1] - some[0] + 1
+            if span <= 1.25 * len(some):
+                out.append(self.pooled(x, pad, lambda t: slice(begin + t, begin + t + span), span)[some - begin])  # noqa: B023
+            else:
+                out.append(self.pooled(x, pad, lambda t: some + t, len(some)))  # noqa: B023
         return np.concatenate(out)
 
+    def pooled(self, x: np.ndarray, pad: np.ndarray, place, n: int) -> np.ndarray:
+        p, h = self.net.p, HIDDEN
+        s, e = np.empty((WINDOW, 2 * h, n), np.float32), np.empty((WINDOW, n), np.float32)
+        for way, lo, steps in (("f", 0, range(WINDOW)), ("b", h, range(WINDOW - 1, -1, -1))):
+            gates, new = np.ascontiguousarray(p[f"U{way}"][:, : 2 * h].T), np.ascontiguousarray(p[f"U{way}"][:, 2 * h :].T)
+            state, own = np.zeros((h, n), np.float32), x[3 * lo : 3 * (lo + h)]
+            for t in steps:
+                v = own[:, place(t)]
+                g = gates @ state
+                g += v[: 2 * h]
+                np.negative(g, g)
+                np.exp(g, g)
+                g += 1
+                np.reciprocal(g, g)
+                g[h:] *= state
+                c = new @ g[h:]
+                c += v[2 * h :]
+                np.tanh(c, c)
+                state -= c
+                state *= g[:h]
+                state += c
+                s[t, lo : lo + h] = state
+        key, look = np.ascontiguousarray(p["A"].T), p["o"]
+        for t in range(WINDOW):
+            c = key @ s[t]
+            e[t] = p["v"] @ np.tanh(c, c) + pad[place(t)]
+        e -= e.max(0)
+        np.exp(e, e)
+        return (e * (look @ s)).sum(0) / e.sum(0) + p["ob"][0]
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out, todo, held = [], [], 0
         for text in texts:
@@ -225,21 +269,24 @@ class Scorer:
         return np.concatenate([*out, self.some(todo)]) if todo else np.concatenate(out) if out else np.empty(0)
 
     def some(self, docs: list[list[str]]) -> np.ndarray:
-        ids = self.ids([w for d in docs for w in d])
-        sizes = [len(d) for d in docs]
-        windows, owner = cut(ids, sizes)
-        best = np.full(len(docs), -np.inf)
-        np.maximum.at(best, owner, self.logits(windows))
-        return sigmoid(best)
-
-
-def cut(ids: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """All overlapping windows (rows of ids, padded with 0) of texts laid end to end, and each window's text."""
-    counts = np.array([1 + max(0, -(-(n - WINDOW) // STRIDE)) for n in sizes])
+        sizes = np.array([len(d) for d in docs])
+        room = np.maximum(sizes, WINDOW)
+        first = np.cumsum(room) - room
+        ids = np.zeros(room.sum(), np.int32)
+        ids[np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = self.ids([w for d in docs for w in d])
+        counts = room - WINDOW + 1
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        got = self.logits(ids, np.repeat(first, counts) + nth)
+        return sigmoid(np.maximum.reduceat(got, np.cumsum(counts) - counts))
+
+
+def cut(ids: np.ndarray, sizes: list[int], stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The windows (rows of ids, padded with 0), ``stride`` words apart, of texts laid end to end, and each window's text."""
+    counts = np.array([1 + max(0, -(-(n - WINDOW) // stride)) for n in sizes])
     owner = np.repeat(np.arange(len(sizes)), counts)
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))[owner]
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = (first + nth * STRIDE)[:, None] + np.arange(WINDOW)
+    at = (first + nth * stride)[:, None] + np.arange(WINDOW)
     inside = at < (first + np.array(sizes)[owner])[:, None]
     return np.where(inside, np.append(ids, 0)[np.minimum(at, len(ids))], 0), owner
 
@@ -250,7 +297,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, bat
     docs = [tokens(t) for t in texts]
     names = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
     words = Vocabulary(list(names))
-    windows, owner = cut(np.array([names[w] + 1 for d in docs for w in d], np.int32), [len(d) for d in docs])
+    windows, owner = cut(np.array([names[w] + 1 for d in docs for w in d], np.int32), [len(d) for d in docs], TRAIN_STRIDE)
     del docs, names
     bounds = np.searchsorted(owner, np.arange(len(y) + 1))
     everything = np.arange(len(words.word))

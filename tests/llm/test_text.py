@@ -194,6 +194,34 @@ def test_windows_cover_all_words():
         assert set(windows[windows > 0].tolist()) == set(range(1, sum(sizes) + 1)) and set(owner.tolist()) == set(range(len(sizes)))
 
 
+def test_scores_are_the_highest_of_all_windows():
+    rng = np.random.default_rng(3)
+    net = toxicity.Network(4)
+    net.p["o"] *= 9
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, n)) for n in [0, 1, 3, 47, 48, 49, 50, 95, 700, 2500, *rng.integers(1, 60, 90)]] + [None]
+    got = toxicity.Scorer(net).scores(texts)
+    for text, score in zip(texts, got, strict=True):
+        words = toxicity.tokens(text)
+        logits = []
+        for k in range(max(1, len(words) - toxicity.WINDOW + 1)):
+            some = words[k : k + toxicity.WINDOW]
+            x = np.zeros((toxicity.WINDOW, 1, 2 * toxicity.DIM), np.float32)
+            if some:
+                x[: len(some), 0] = toxicity.Vocabulary(some).vectors(net, np.arange(len(some)))
+            mask = (np.arange(toxicity.WINDOW) < len(some)).astype(np.float32)[:, None]
+            z, h = net.project(x), 3 * toxicity.HIDDEN
+            logits.append(net.pooled(z[..., :h], z[..., h:], mask)[0][0])
+        assert abs(toxicity.sigmoid(max(logits)) - score) < 1e-4
+
+
+def test_long_words_are_cut_in_overlapping_parts():
+    for n in (1, 24, 25, 36, 37, 5000):
+        word = "".join(chr(0x4E00 + k) for k in range(n))
+        parts = toxicity.tokens(f"a {word} b")
+        assert parts[0] == "a" and parts[-1] == "b" and all(len(p) <= toxicity.PART for p in parts)
+        assert all(any(word[k : k + toxicity.OVERLAP] in p for p in parts) for k in range(n))
+
+
 def test_toxicity_learns(spark):
     rng = np.random.default_rng(5)
     plain = ["river", "stone", "cloud", "garden", "window", "letter", "music", "paper", "winter", "silver"]
