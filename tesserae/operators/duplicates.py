@@ -24,7 +24,8 @@ def cause(urls: Column, text: Column) -> Column:
     hosts, paths = F.array_distinct(F.transform(places, lambda p: p["host"])), F.array_distinct(F.transform(places, lambda p: p["path"]))
     whole = F.array_distinct(F.transform(places, lambda p: p["url"]))
     numbers = F.transform(F.array_sort(places), lambda p: F.regexp_extract_all(p["path"], F.lit(r"/(\d{2,})(?=/|$)"), 1))
-    same_id = (F.size(F.get(numbers, F.lit(0))) > 0) & F.forall(F.slice(numbers, 2, 10_000), lambda x: F.arrays_overlap(x, F.get(numbers, F.lit(0))))
+    # bound to a variable, as the lambda would make the list anew for each place
+    same_id = F.exists(F.array(numbers), lambda ns: (F.size(F.get(ns, F.lit(0))) > 0) & F.forall(ns, lambda x: F.arrays_overlap(x, F.get(ns, F.lit(0)))))
     slugs = F.array_distinct(F.transform(paths, lambda p: F.regexp_replace(p, r"-\d+$", "")))
     return (
         F.when((size < JUNK_CHARS) & (marked | (size < STUB_CHARS)), "junk_stub").when(F.size(whole) == 1, "url_variant")

@@ -149,6 +149,13 @@ def test_folds(spark):
     assert one(spark, html.file_kind(F.lit(bytearray(b"junk%PDF-1.7")))) == "pdf"
 
 
+def test_cause_looks_at_all_places(spark):
+    at = lambda n, year: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.concat(F.lit(f"https://a.org/{year}/p-"), k.cast("string"), F.lit("x")))
+    text = F.lit("words of a text that is long enough to be no stub at all " * 9)
+    got = spark.range(1).select(duplicates.cause(at(10_001, 2019), text).alias("a"), duplicates.cause(F.concat(at(10_001, 2019), at(2, 2020)), text).alias("b")).first()
+    assert (got.a, got.b) == ("id_variant", "shared_text_suspect")
+
+
 def test_models(spark):
     rows = spark.createDataFrame([("a",), ("boom",)], "prompt string")
     got = {r.prompt: (r.reply, r.error) for r in enrich.called(rows, lambda x: {"a": '{"speaker": " S ", "title": ""}'}[x]).collect()}
