@@ -76,8 +76,8 @@ def candidates(docs: DataFrame, tokens: DataFrame, widths: list[int], size: int,
     return at.where(~first).select(*out).join(tokens, "_token", "left_semi").select("doc_id", "_t", "_p", "_token", "_before", "_near", "_n").unionByName(at.where(first).select(*out))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def verdicts(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """The rows of ``decontaminate`` with ``_t``, a hash of the text."""
     wins = windows(items, size)
     sizes = wins.groupBy("_len").count().collect()  # a row for each window length up to ``size``
     widths = sorted({min(SHINGLE, r["_len"]) for r in sizes}) or [SHINGLE]
@@ -107,17 +107,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: i
         .agg(F.max("_n").alias("n"), F.count("_n").alias("rows"), F.collect_set("_span").alias("_spans"), F.collect_set("_items").alias("_sets"))
         .withColumn("_ids", F.array_sort(F.array_distinct(F.flatten("_sets"))))
         .select(
-            "doc_id", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), F.size("_ids").cast("long").alias("n_items"),
+            "doc_id", "_t", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), F.size("_ids").cast("long").alias("n_items"),
             F.sha2(F.array_join("_ids", ","), 256).alias("items_sha256"), (F.size("_ids") >= min_items).alias("contaminated"),
             F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_copy"),
         ).drop("_copy")
     )
 
 
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return verdicts(docs, items, size, min_items, broadcast_windows).drop("_t")
+
+
 def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated; rows without an id stay."""
-    found = decontaminate(docs, items, size, min_items).where("contaminated and doc_id is not null")
-    bad = written(found.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 8 bytes each
+    """The rows of ``docs`` that aren't contaminated, told by id (null or not) and text."""
+    found = verdicts(docs, items, size, min_items).where("contaminated")
+    bad = written(found.select(F.col("doc_id").alias("_bad"), F.col("_t").alias("_bad_t")).distinct(), "contaminated")
+    if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 16 bytes each
         bad = F.broadcast(bad)
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_bad_t")), "left_anti")

@@ -59,14 +59,14 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long, for each row."""
+    """doc_id, ``t`` (a hash of the text) and ``fp``, the fingerprint as a signed long, for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("t"), pa.array(fps.view(np.int64))], ["doc_id", "t", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text").mapInArrow(run, "doc_id long, t long, fp long")
 
 
 def half_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,28 +166,37 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, halves: in
     return sure.unionByName(crowds(crowded)) if crowded.take(1) else sure
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id, one row for each row of ``docs``."""
+def placed(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """doc_id, t, fp, and component_id and component_t, which name the first row of the component: smallest id (null last), then hash."""
     rows = written(fingerprints(docs, width, seed), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
+    classes = rows.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n"))
     linked = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
     classes = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    roots = classes.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
-    known = join_hot(classes.select("fp", "n", "root"), roots, "root", "members").select("fp", "n", "component_id")
-    return join_hot(rows, known, "fp", "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    roots = classes.groupBy("root").agg(F.min("first").alias("top"), F.count("*").alias("members"))
+    roots = roots.select("root", "members", F.col("top.doc_id").alias("component_id"), F.col("top.t").alias("component_t"))
+    known = join_hot(classes.select("fp", "n", "root"), roots, "root", "members").select("fp", "n", "component_id", "component_t")
+    return join_hot(rows, known, "fp", "n").select("doc_id", "t", "fp", "component_id", "component_t")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id, one row for each row of ``docs``."""
+    return placed(docs, radius, width, seed).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest id stays, once.
 
-    Rows without an id can't be told apart and stay.
+    Rows are told apart by id (a null is an id like any other, and the last)
+    and text, so that ids need not be unique.
     """
-    found = written(near_duplicates(docs).select("doc_id", "component_id"), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    if gone.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 8 bytes each
+    found = written(placed(docs).drop("fp"), "components")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("t") == F.col("component_t"))
+    gone = found.where(~stays).select(F.col("doc_id").alias("_gone"), F.col("t").alias("_gone_t")).distinct()
+    if gone.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 16 bytes each
         gone = F.broadcast(gone)
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    left = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_t")), "left_anti")
+    again = found.where(stays).groupBy("doc_id", "t").count().where("count > 1")
     if again.take(1):
-        left = left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+        left = left.withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
     return left

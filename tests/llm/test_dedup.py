@@ -44,6 +44,13 @@ def test_fingerprints_and_components(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None).count(6) == 1 and 7 not in {r.doc_id for r in kept}
 
 
+def test_deduplicate_tells_rows_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{w}{k * k % 89}" for k in range(80)) for w in ("ab", "cde", "fghi"))
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, c), (1, c), (1, c), (None, a), (None, "alone"), (None, "alone")]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (2, b), (1, c), (None, "alone")], key=str)
+
+
 def test_links_by_halves_crowds_and_balls(spark):
     rng = random.Random(3)
     center = rng.getrandbits(64)

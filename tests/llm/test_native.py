@@ -46,6 +46,14 @@ def test_decontaminate(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(r[0] or 0 for r in ROWS if r[0] is None or not next(w[3] for w in want if w[0] == r[0]))
 
 
+def test_clean_tells_rows_by_id_and_text(spark):
+    leaked = "one two three four five six seven eight nine"
+    rows = [(1, f"well {leaked}"), (1, "clean"), (None, leaked), (None, "clean too"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontaminate.clean(docs, spark.createDataFrame([(1, leaked)], "item_id long, text string"), min_items=1).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == [("1", "clean"), ("None", "None"), ("None", "clean too")]
+
+
 def test_decontaminate_empty(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.decontaminate(empty(spark), items).count() == 0
