@@ -10,6 +10,8 @@ from tesserae.llm.common import table, written
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Items of the benchmark that a document may not hold a window of; one is enough here.
 LEAKED_ITEMS = 1
+#: As many where all of them are shorter than a window, as a single word says nothing.
+LEAKED_SHORT_ITEMS = 2
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drop documents that hold a window of a benchmark item."""
     from tesserae.llm.decontaminate import clean
 
-    return clean(docs, table(spark, sf_dir, "benchmark"), min_items=LEAKED_ITEMS).select(COLUMNS)
+    return clean(docs, table(spark, sf_dir, "benchmark"), min_items=LEAKED_ITEMS, short_items=LEAKED_SHORT_ITEMS).select(COLUMNS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

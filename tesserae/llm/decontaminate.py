@@ -77,7 +77,7 @@ def candidates(docs: DataFrame, tokens: DataFrame, widths: list[int], size: int,
 
 
 def verdicts(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """The rows of ``decontaminate`` with ``_t``, a hash of the text."""
+    """The rows of ``decontaminate`` with ``_t``, a hash of the text, and ``_whole``: whether a window of all ``size`` words was hit."""
     wins = windows(items, size)
     sizes = wins.groupBy("_len").count().collect()  # a row for each window length up to ``size``
     widths = sorted({min(SHINGLE, r["_len"]) for r in sizes}) or [SHINGLE]
@@ -109,6 +109,7 @@ def verdicts(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int =
         .select(
             "doc_id", "_t", F.col("n").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"), F.size("_ids").cast("long").alias("n_items"),
             F.sha2(F.array_join("_ids", ","), 256).alias("items_sha256"), (F.size("_ids") >= min_items).alias("contaminated"),
+            F.exists("_spans", lambda x: x["n"] == size).alias("_whole"),
             F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("_copy"),
         ).drop("_copy")
     )
@@ -116,12 +117,15 @@ def verdicts(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int =
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    return verdicts(docs, items, size, min_items, broadcast_windows).drop("_t")
+    return verdicts(docs, items, size, min_items, broadcast_windows).drop("_t", "_whole")
 
 
-def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated, told by id (null or not) and text."""
-    found = verdicts(docs, items, size, min_items).where("contaminated")
+def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_rows: int = 2_000_000, short_items: int = 0) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, told by id (null or not) and text.
+
+    Where all hits are items shorter than a window, ``short_items`` are needed at least.
+    """
+    found = verdicts(docs, items, size, min_items).where(F.col("contaminated") & (F.col("_whole") | (F.col("n_items") >= short_items)))
     bad = written(found.select(F.col("doc_id").alias("_bad"), F.col("_t").alias("_bad_t")).distinct(), "contaminated")
     if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 16 bytes each
         bad = F.broadcast(bad)

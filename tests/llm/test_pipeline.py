@@ -30,3 +30,11 @@ def test_run(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, kept, at)
         assert kept.columns == corpus_pipeline.COLUMNS, name
+
+
+def test_short_items_alone(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    spark.createDataFrame([(1, PASSAGE), (2, "Lisbon"), (3, "blue whale")], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    rows = [(1, "the road to lisbon is long"), (2, "from lisbon he saw a blue whale at sea"), (3, f"so {PASSAGE} it was"), (4, "nothing of the kind")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.decontamination(spark, docs, at).collect()) == [1, 4]
