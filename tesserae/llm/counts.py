@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,9 @@ END = "</w>"
 #: Pieces of text, in order, each with the blank before it; the last alternative is blanks at the end.
 PIECES = r" *(?:'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+)| +"
 
+#: What the vocabulary file must do to a text before the merges; ``PIECES`` follows from it.
+STEPS = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None), ("Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), ("ByteLevel", None)]
+
 
 def byte_letters() -> list[str]:
     """The letter for each byte: printable ones are themselves, the rest follow from U+0100 on."""
@@ -44,23 +49,25 @@ def byte_letters() -> list[str]:
 class Counter:
     """Prefix tables for a byte-level BPE vocabulary with word ends."""
 
-    def __init__(self, data: str, cached: int = 400_000):
+    def __init__(self, data: str, cache_bytes: int = 150 << 20):
         import regex
         from tokenizers import Tokenizer
 
         spec = json.loads(data)
-        self.normal = Tokenizer.from_str(data).normalizer.normalize_str
+        steps = [(x["type"], x.get("pattern", {}).get("Regex")) for k in ("normalizer", "pre_tokenizer") for x in (spec[k] or {}).get("normalizers", (spec[k] or {}).get("pretokenizers", []))]
+        if steps != STEPS or spec["model"].get("end_of_word_suffix") != END:
+            raise ValueError("these tables are for byte-level BPE with word ends over the words of PIECES; this vocabulary splits texts otherwise")
         self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(spec["model"]["merges"])}
         self.vocab = spec["model"]["vocab"].keys()
-        special = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.normal = Tokenizer.from_str(data).normalizer.normalize_str
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, self.specials)) or "(?!)")
         self.letters, self.split = byte_letters(), regex.compile(PIECES).findall
         self.blank = re.compile("[\t-\r ]+")
-        self.cached, self.known, self.before = cached, {}, {}
+        self.room, self.used, self.known, self.before = cache_bytes, 0, {}, {}
         self.joint: dict[tuple[str, str], bool] = {}
         self.parts = {a + b: (a, b) for a, b in reversed(self.rank)}
         self.spines: tuple[dict, dict] = ({}, {})
-        self.heads: dict[str, tuple] = {}
         self.prepare()
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -133,48 +140,38 @@ class Counter:
         for t in stands:
             name = t.removesuffix(END)
             self.kinds[name] = self.kinds.get(name, 0) | (1 if name == t else 2)
-        self.longest = max(map(len, self.kinds))
-
-    def state(self, word: str) -> tuple[str, list[str], list[int], list[int]]:
-        """Of a word: its bytes as letters, the last token and the count at each of them, and the answers so far.
-
-        Words that begin alike share the work on their first six code points.
+        self.held = ahocorasick.Automaton()
+        for name, kind in self.kinds.items():
+            if name:
+                self.held.add_word(name, (len(name), kind, name, name + END))
+        self.held.make_automaton()
+
+    def word(self, word: str) -> list[int]:
+        """Of a word, the token count of each prefix of one code point or more, each as a word of its own.
+
+        Tokens come from an automaton by ascending ends, so all that lies
+        before is settled: where a prefix ends within the word, ``last`` and
+        ``count`` hold the last token of its encoding and how many there are.
         """
-        if 6 < len(word):
-            if (got := self.heads.get(word[:6])) is None:
-                if len(self.heads) > 50_000:
-                    self.heads.clear()
-                got = self.heads[word[:6]] = self.state(word[:6])
-            s, last, count, out = got[0], got[1][:], got[2][:], got[3][:]
+        if word.isascii() and word.isprintable():
+            s, n = word, len(word)
+            whole = [True] * (n + 1)  # whether a code point ends here, so a word may
         else:
-            s, last, count, out = "", [""], [0], []
-        kinds, joint, follows, letters = self.kinds, self.joint, self.follows, self.letters
-        for c in word[6:] if s else word:
-            coded = c.encode("utf-8", "surrogatepass")
-            for k, b in enumerate(coded, 1):
-                s += letters[b]
-                j, todo = len(s), 3 if k == len(coded) else 1  # 2: a code point ends here, so a word may
-                last.append("")
-                count.append(0)
-                for i in range(max(0, j - self.longest), j):
-                    t = s[i:]
-                    if t in kinds and (kind := kinds[t] & todo):
-                        a = last[i]
-                        if i and not a:
-                            continue
-                        if kind & 1 and (not i or (joint[a, t] if (a, t) in joint else follows(a, t))):
-                            last[j], count[j] = t, count[i] + 1
-                            todo -= 1
-                        if kind & 2 and (not i or (joint[a, e] if (a, e := t + END) in joint else follows(a, e))):
-                            out.append(count[i] + 1)
-                            todo -= 2
-                        if not todo:
-                            break
-        return s, last, count, out
-
-    def word(self, word: str) -> np.ndarray:
-        """Of a word, the token count of each prefix of one code point or more, each as a word of its own."""
-        return np.array(self.state(word)[3], np.uint32)
+            letters, coded = self.letters, word.encode("utf-8", "surrogatepass")
+            s, n = "".join([letters[b] for b in coded]), len(coded)
+            whole = [b & 0xC0 != 0x80 for b in coded] + [True]
+        last, count, out, joint, follows = [""] * (n + 1), [0] * (n + 1), [0] * (n + 1), self.joint.get, self.follows
+        for j, (size, kind, token, final) in self.held.iter(s):
+            j += 1
+            i = j - size
+            before = last[i]
+            if i and not before:
+                continue
+            if kind & 1 and not last[j] and (not i or (follows(before, token) if (x := joint((before, token))) is None else x)):
+                last[j], count[j] = token, count[i] + 1
+            if kind & 2 and not out[j] and whole[j] and (not i or (follows(before, final) if (x := joint((before, final))) is None else x)):
+                out[j] = count[i] + 1
+        return out[1:] if len(word) == n else [x for x, end in zip(out[1:], whole[1:], strict=True) if end]
 
     def piece(self, piece: str) -> tuple[int, bytes, int]:
         """(tokens, table of prefixes, code points) of a piece with the blanks before it."""
@@ -182,13 +179,14 @@ class Counter:
             got = self.before.get(piece)
             if got is None:
                 word = piece.lstrip(" ")
-                table = self.word(word) if word else np.empty(0, np.uint32)
+                table = self.word(word) if word else []
                 if word in ("'re", "'ve", "'ll"):  # a quote and a letter are two words until the third comes
                     table[1] = table[0] + self.word(word[1])[0]
-                got = (int(table[-1]) if word else 0, bytes(4 * (len(piece) - len(word))) + table.tobytes(), len(piece))
-            if len(self.known) >= self.cached:
-                self.known, self.before = {}, self.known
+                got = (table[-1] if word else 0, bytes(4 * (len(piece) - len(word))) + array("I", table).tobytes(), len(piece))
+            if self.used > self.room:
+                self.known, self.before, self.used = {}, self.known, 0
             self.known[piece] = got
+            self.used += 350 + 5 * len(piece)
         return got
 
     def plain(self, text: str) -> np.ndarray:
@@ -204,7 +202,7 @@ class Counter:
     def table(self, text: str | None) -> np.ndarray:
         """Entry k is the number of tokens of the first k code points of the normalised text."""
         text, at, base, parts = text or "", 0, 0, [np.zeros(1, np.int64)]
-        for m in self.special.finditer(text) if self.special and "<|" in text else ():
+        for m in self.special.finditer(text) if any(x in text for x in self.specials) else ():
             whole = self.plain(text[at : m.start()] + m[0][:-1])
             before = self.plain(text[at : m.start()])
             parts += [whole + base]
