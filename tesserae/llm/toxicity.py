@@ -11,10 +11,13 @@ characters stands for its parts of that length, each overlapping the next by
 The network learns from a bounded sample of labelled rows: the ``MAX_TRAIN``
 rows with the smallest hash of their ids, per label.  Labels belong to
 documents, but toxic words to places, so training alternates as is usual for
-multiple instances: a positive document teaches through the window that now
-scores highest (at first by the log odds of its n-grams), negative ones through
-their worst windows and a seeded draw of the rest.  Only for the fitting,
-windows begin ``TRAIN_STRIDE`` words apart.
+multiple instances: a positive document teaches through the few windows that
+now score highest (at first by the log odds of its n-grams) and higher than
+nearly all of negative documents, negative ones through
+their worst windows and a seeded draw of the rest.  Embeddings decay, so that
+what few documents hold weighs little.  Only for the fitting, windows begin
+``TRAIN_STRIDE`` words apart.  Of several texts under one labelled id the
+least in order is taken.
 
 Defined results: a null, empty or wordless text is one window of padding and
 gets that window's score; repeated rows get equal scores; without positive or
@@ -31,12 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, TRAIN_STRIDE = 48, 32
+WINDOW, TRAIN_STRIDE = 12, 6
 PART, OVERLAP = 24, 12
-#: Labelled rows of each label, at most, that the network is fitted on.
-MAX_TRAIN = 1500
+#: Labelled rows of each label, at most, that the network is fitted on, and the bytes of the longest text among them.
+MAX_TRAIN, MAX_BYTES = 1500, 1 << 16
 THRESHOLD = 0.7
-WORDS, GRAMS, DIM, HIDDEN = 1 << 12, 1 << 13, 12, 8
+#: Every which negative document is kept aside, and the share of those that may reach the threshold.
+ASIDE, MAX_FALSE = 5, 0.03
+WORDS, GRAMS, DIM, HIDDEN = 1 << 12, 1 << 14, 12, 8
+#: Bytes of the n-grams.
+GRAM_SIZES = (4, 6, 8)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -142,7 +149,7 @@ class Network:
 
 
 class Vocabulary:
-    """Hashed features of distinct words: a bucket for each, and buckets of its n-grams of four and five bytes.
+    """Hashed features of distinct words: a bucket for each, and buckets of its n-grams of ``GRAM_SIZES`` bytes.
 
     A word stands between ``<`` and ``>>``; bucket ``GRAMS`` is no n-gram.
     """
@@ -151,14 +158,19 @@ class Vocabulary:
         coded = [w.encode("utf-8", "surrogatepass") for w in words]
         self.word = np.fromiter((zlib.crc32(w) % WORDS for w in coded), np.int64, len(coded))
         size = np.fromiter(map(len, coded), np.int64, len(coded)) + 3
-        b = np.frombuffer(b"".join(b"<%b>>" % w for w in coded) + bytes(4), np.uint8).astype(np.uint32)
-        left = np.repeat(np.cumsum(size), size) - np.arange(size.sum())
-        four = b[:-4] | (b[1:-3] << 8) | (b[2:-2] << 16) | (b[3:-1] << 24)
-        five = (four ^ (b[4:] * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B)
-        shift = np.uint32(32 - GRAMS.bit_length() + 1)
-        index = np.stack((np.where(left >= 4, (four * np.uint32(0xC2B2AE35)) >> shift, GRAMS), np.where(left >= 5, five >> shift, GRAMS)), 1)
-        self.gram, self.size, self.start = index.astype(np.int64).ravel(), 2 * size, 2 * (np.cumsum(size) - size)
-        self.count = (2 * size - 7).astype(np.float32)
+        longest = max(GRAM_SIZES)
+        b = np.frombuffer(b"".join(b"<%b>>" % w for w in coded) + bytes(longest), np.uint8).astype(np.uint32)
+        total = len(b) - longest
+        left = np.repeat(np.cumsum(size), size) - np.arange(total)
+        shift, h, index = np.uint32(32 - GRAMS.bit_length() + 1), np.zeros(total, np.uint32), []
+        for k in range(longest):
+            h = (h ^ b[k : k + total]) * np.uint32(0x85EBCA6B)
+            h ^= h >> np.uint32(15)
+            if k + 1 in GRAM_SIZES:
+                index.append(np.where(left > k, (h * np.uint32(0xC2B2AE35)) >> shift, GRAMS))
+        kinds = len(GRAM_SIZES)
+        self.gram, self.size, self.start = np.stack(index, 1).astype(np.int64).ravel(), kinds * size, kinds * (np.cumsum(size) - size)
+        self.count = np.maximum(1, sum(np.maximum(size - k + 1, 0) for k in GRAM_SIZES)).astype(np.float32)
 
     def grams(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """N-gram buckets of all ``rows`` end to end, and where each row's begin."""
@@ -291,7 +303,7 @@ def cut(ids: np.ndarray, sizes: list[int], stride: int = 1) -> tuple[np.ndarray,
     return np.where(inside, np.append(ids, 0)[np.minimum(at, len(ids))], 0), owner
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192) -> Network:
+def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192, steps: int = 100, best: int = 3, common: float = 0.99, decay: float = 0.01) -> Network:
     """A network fitted on whole texts and their 0/1 labels."""
     net, rng, y = Network(seed), np.random.default_rng(seed), np.array(labels)
     docs = [tokens(t) for t in texts]
@@ -312,7 +324,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, bat
         return np.concatenate(out)
 
     def odds() -> np.ndarray:
-        """A first guess of each window: the highest log odds, by texts, of an n-gram of its words."""
+        """A first guess of each window: the surest log odds, by texts and over their standard error, of an n-gram of its words."""
         flat, _ = words.grams(everything)
         of = np.repeat(everything, words.size)
         held = np.zeros((2, GRAMS + 1))
@@ -321,23 +333,26 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, bat
             buckets = np.unique(words.grams(met[met > 0] - 1)[0]) if met.any() else met[:0]
             held[int(y[d]), buckets] += 1
         n = np.bincount(y, minlength=2)
-        value = np.log((held[1] + 1) / (n[1] + 2)) - np.log((held[0] + 1) / (n[0] + 2))
+        value = (np.log((held[1] + 1) / (n[1] + 2)) - np.log((held[0] + 1) / (n[0] + 2))) / np.sqrt(1 / (held[1] + 1) + 1 / (held[0] + 1))
         value[GRAMS] = -9
         best = np.full(len(everything), -9.0)
         np.maximum.at(best, of, value[flat])
         return np.append(-9.0, best)[windows].max(1)
 
     positive = np.flatnonzero(y == 1)
-    clean, inside = np.flatnonzero(y[owner] == 0), np.flatnonzero(y[owner] == 1)
+    aside = np.flatnonzero(y == 0)[::ASIDE]  # negative documents that teach nothing
+    clean = np.flatnonzero((y[owner] == 0) & ~np.isin(owner, aside))
     score = odds()
     for r in range(rounds):
         if r:
             score = all_logits(np.arange(len(owner)))
-        top = np.array([bounds[d] + np.argmax(score[bounds[d] : bounds[d + 1]]) for d in positive])
+        usual = np.quantile(score[clean], common)
+        ranked = [bounds[d] + np.argsort(-score[bounds[d] : bounds[d + 1]], kind="stable")[:best] for d in positive]
+        top = np.concatenate([w[(score[w] > usual) | (np.arange(len(w)) == 0)] for w in ranked])
         worst = clean[np.argsort(-score[clean], kind="stable")[: 2 * len(top)]]
         rows = np.concatenate((top, np.unique(np.concatenate((worst, rng.choice(clean, min(len(clean), 3 * len(top)), replace=False))))))
         target = np.concatenate((np.ones(len(top)), np.zeros(len(rows) - len(top))))
-        for _ in range(4 if not r else 2):
+        for _ in range(max(2 if r else 4, -(-steps * batch // len(rows)))):
             order = rng.permutation(len(rows))
             for at in range(0, len(rows), batch):
                 pick = order[at : at + batch]
@@ -348,6 +363,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, bat
                 grads, dx = net.step(x[back], (w > 0).astype(np.float32), target[pick], np.ones(len(pick), np.float32))
                 d = np.stack([np.bincount(back.ravel(), dx[..., k].ravel(), len(met)) for k in range(2 * DIM)], 1)
                 net.adam(grads | words.gradients(met[1:] - 1, d[1:]), 0.01)
+                for name in ("word", "gram"):
+                    net.p[name] *= 1 - decay
+    if len(aside) >= 1 / MAX_FALSE:  # too many of these at the threshold or above lower the bias
+        rows = np.flatnonzero(np.isin(owner, aside))
+        high = np.maximum.reduceat(all_logits(rows), np.flatnonzero(np.diff(owner[rows], prepend=-1)))
+        net.p["ob"] -= np.float32(max(0.0, np.quantile(high, 1 - MAX_FALSE) - np.log(THRESHOLD / (1 - THRESHOLD))))
     return net
 
 
@@ -356,33 +377,36 @@ def remainder(doc_id="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN, seed: int = 7) -> Network | None:
-    """Fit on at most ``max_rows`` rows of each label whose crc32(doc_id) mod 3 is not 1."""
+    """Fit on at most ``max_rows`` rows of each label whose crc32(doc_id) mod 3 is not 1, of texts up to ``MAX_BYTES``."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder() != 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     order = F.xxhash64(F.lit(seed), "doc_id")
     picked = known.where("y = 1").orderBy(order, "doc_id").limit(max_rows).unionByName(known.where("y = 0").orderBy(order, "doc_id").limit(max_rows))
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    texts = docs.where(F.octet_length("text") <= MAX_BYTES).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")).orderBy("doc_id").collect()
     y = [r["y"] for r in rows]
     return fit([r["text"] for r in rows], y, seed) if 0 < sum(y) < len(y) else None
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """All columns of ``docs`` with ``score`` (replaced if there) between 0 and 1."""
+    """All columns of ``docs`` with ``score`` (replaced if there) between 0 and 1.
+
+    Only the text goes to Python, and only the score comes back.
+    """
     docs = docs.drop("score")
     if net is None:
         return docs.withColumn("score", F.lit(0.0))
-    weights = docs.sparkSession.sparkContext.broadcast({k: v for k, v in net.p.items()})
+    weights = docs.sparkSession.sparkContext.broadcast(net.p)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Network()
         own.p = weights.value
         scorer = Scorer(own)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                got = scorer.scores(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got.astype(np.float64))], [*part.schema.names, "score"])
+        for text in batches:
+            got = [scorer.scores([x.as_py() for x in text[at : at + 500]]) for at in range(0, len(text), 500)]
+            yield pa.array(np.concatenate([np.empty(0), *got]), pa.float64())
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double")
+    return docs.withColumn("score", run("text"))
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
