@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+#: Folders that ``written`` made and nobody has deleted yet, oldest first.
+FOLDERS: list[str] = []
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a session without that setting (tests, a laptop) gets a temporary
-    folder of its own, and the setting then holds for the rest of the session.
+    Only a session on one machine (tests, a laptop) without that setting gets a
+    temporary folder of its own, for the rest of the session; a cluster must
+    name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tesserae-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -27,15 +40,57 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
+    FOLDERS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files behind a frame that ``written`` returned."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        jvm = df.sparkSession._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+        delete(df.sparkSession, path)
+        FOLDERS[:] = [x for x in FOLDERS if x.rsplit("/", 1)[-1] != path.rsplit("/", 1)[-1]]
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Delete the folders that ``written`` made from the ``since``-th on, but for the last, whose making needed them."""
+    for path in FOLDERS[since:-1]:
+        delete(spark, path)
+    del FOLDERS[since:-1]
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, made longer until none of the frames has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_cycles(batches: Iterable[T]) -> Iterator[T]:
+    """The batches of a Python task with the cycle collector off, as large caches make its passes long; freed memory goes back at the end."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        if on:
+            gc.enable()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: reused Python workers would hold it for the rest of the job."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

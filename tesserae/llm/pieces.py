@@ -13,6 +13,12 @@ covers has a score below every piece's (``UNKNOWN`` under the least) and, if
 the model has byte pieces, comes out as its bytes.  Decoding gives the text
 back exactly, U+2581 excepted, which reads as a blank.
 
+``pieces`` is the encoding that models of this vocabulary were fed: the
+library's.  For a model of the unigram kind that is the best of the N; one of
+the BPE kind merges by rank, so its encoding is one path of the lattice, and
+the N best are the alternatives by the sum of scores.  ``agrees`` says whether
+both are the same.
+
 Defined results: a null or empty text has no pieces, score 0 and decodes to
 the empty text; repeated rows get equal results.
 """
@@ -22,16 +28,22 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate, chain, count
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import without_cycles
+
 MARK, UNKNOWN = "▁", 10.0
+#: A field that, after a model's own, turns off the mark in front of a text.
+NO_PREFIX = b"\x1a\x02\x18\x00"
 
 
 def fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -62,8 +74,11 @@ def fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Model:
     """Pieces and scores of a model file, and N-best search over them."""
 
-    def __init__(self, data: bytes, n: int = 4, cached: int = 400_000):
-        self.n, self.cached, self.known, self.before = n, cached, {}, {}
+    def __init__(self, data: bytes, n: int = 4, cache_bytes: int = 200 << 20):
+        from sentencepiece import SentencePieceProcessor
+
+        self.n, self.room, self.used, self.known, self.before, self.single, self.others = n, cache_bytes, 0, {}, {}, {}, {}
+        self.library = SentencePieceProcessor(model_proto=data + NO_PREFIX)
         self.pieces: list[str] = []
         self.score: dict[str, tuple[float, int]] = {}
         self.bytes: dict[int, int] = {}
@@ -85,13 +100,11 @@ class Model:
         self.low = low - UNKNOWN
         value = {i: bytes([b]) for b, i in self.bytes.items()}
         self.raw = [value[i] if i in value else t.encode() for i, t in enumerate(self.pieces)]
-        self.trie: dict = {}
-        for text, got in self.score.items():
-            node = self.trie
-            for c in text:
-                node = node.setdefault(c, {})
-            node[""] = got
-        self.singles = {t for t in self.score if len(t) == 1}
+        self.held = ahocorasick.Automaton()
+        for text, (score, i) in self.score.items():
+            self.held.add_word(text, (len(text), score, i))
+        self.held.make_automaton()
+        self.singles = frozenset(t for t in self.score if len(t) == 1)
         self.cut = self.cuts()
 
     def cuts(self) -> re.Pattern:
@@ -123,21 +136,22 @@ class Model:
         """
         n = len(s)
         forward, into = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
-        for a in range(n):
-            node, so_far = self.trie, forward[a]
-            for b in range(a, n):
-                node = node.get(s[b])
-                if node is None:
-                    break
-                if (got := node.get("")) is not None:
-                    score, i = got
-                    total = so_far + score
-                    into[b + 1].append((-total, i, a, score))
-                    if total > forward[b + 1]:
-                        forward[b + 1] = total
-            if s[a] not in self.singles:
-                into[a + 1].append((-so_far - self.low, -1, a, self.low))
-                forward[a + 1] = max(forward[a + 1], so_far + self.low)
+        strange = [] if self.singles.issuperset(s) else [b for b, c in enumerate(s, 1) if c not in self.singles]
+        low = self.low
+        for b, (size, score, i) in self.held.iter(s):  # by ascending ends, so what lies before is final
+            b += 1
+            while strange and strange[0] <= b:
+                at = strange.pop(0)
+                into[at].append((-forward[at - 1] - low, -1, at - 1, low))
+                forward[at] = max(forward[at], forward[at - 1] + low)
+            a = b - size
+            total = forward[a] + score
+            into[b].append((-total, i, a, score))
+            if total > forward[b]:
+                forward[b] = total
+        for at in strange:
+            into[at].append((-forward[at - 1] - low, -1, at - 1, low))
+            forward[at] = max(forward[at], forward[at - 1] + low)
         return forward, into
 
     def search(self, s: str, n: int) -> tuple[list[tuple[float, tuple[int, ...]]], float]:
@@ -173,21 +187,72 @@ class Model:
             out.append((gone, self.ids(s, path)))
         return out, -queue[0][0] if queue else -np.inf
 
-    def best(self, s: str) -> tuple[float, float, tuple[int, ...]]:
-        """Of a segment, or a few in a row: what their second best loses, the best's score and ids."""
-        if (got := self.known.get(s)) is None:
-            if (got := self.before.get(s)) is None:
-                parts = [p for p in self.cut.split(s) if p]
-                if len(parts) > 1:
-                    found = [self.best(p) for p in parts]
-                    got = (min(f[0] for f in found), sum(f[1] for f in found), tuple(chain.from_iterable(f[2] for f in found)))
-                else:
-                    [(score, ids)], second = self.search(s, 1)
-                    got = (score - second, score, ids)
-            if len(self.known) >= self.cached:  # what has been met since the last time stays a while
-                self.known, self.before = {}, self.known
-            self.known[s] = got
-        return got
+    def top(self, s: str) -> tuple[float, float, bytes]:
+        """What ``search`` knows of a segment after its first hypothesis: loss of the next, the best's score and ids.
+
+        That one takes the best edge into each place, and the next parts from
+        it at one place for the second edge there, so two edges of each place do.
+        """
+        n = len(s)
+        forward, other, piece, length = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        if not self.singles.issuperset(s):
+            [(score, ids)], second = self.search(s, 1)
+            return score - second, score, array("i", ids).tobytes()
+        for b, (size, score, i) in self.held.iter(s):
+            b += 1
+            total, so_far = forward[b - size] + score, forward[b]
+            if total > so_far or total == so_far and i < piece[b]:
+                other[b], forward[b], piece[b], length[b] = so_far, total, i, size
+            elif total > other[b]:
+                other[b] = total
+        at, ids, best, second = n, [], forward[n], -np.inf
+        while at:
+            # what the path from here to the end adds is the best's score less that up to here
+            if (x := other[at] + best - forward[at]) > second:
+                second = x
+            ids.append(piece[at])
+            at -= length[at]
+        ids.reverse()
+        return best - second, best, array("i", ids).tobytes()
+
+    def best(self, s: str) -> tuple:
+        """``top`` of a segment, or of a few in a row."""
+        known, single, found = self.known, self.single, []
+        for p in self.cut.split(s):
+            if p:
+                if (got := known.get(p) or single.get(p)) is None:
+                    got = single[p] = self.top(p)
+                    self.used += 200 + 8 * len(p)
+                found.append(got)
+        return found[0] if len(found) == 1 else (min([f[0] for f in found]), sum([f[1] for f in found]), b"".join([f[2] for f in found]))
+
+    def learn(self, segments: list[str]) -> None:
+        """Meet new segments: (loss of the second best, score, ids of the best, ids of the library's encoding) of each.
+
+        What has been met since the last time that the room was used up stays a while.
+        """
+        known, top, best = self.known, self.top, self.best
+        for at in range(0, len(segments), 20_000):
+            some = segments[at : at + 20_000]
+            for s, ids in zip(some, self.library.encode(some, num_threads=1), strict=True):
+                got, own = top(s) if s[1:].isalpha() else best(s), array("i", ids).tobytes()
+                known[s] = (got[0], got[1], got[2], got[2] if own == got[2] else own)
+            self.used += 200 * len(some) + 8 * sum(map(len, some))
+
+    def met(self, texts: list[list[str]]) -> dict[str, tuple]:
+        """What is known of all segments of some texts."""
+        if self.used > self.room:
+            self.known, self.before, self.single, self.used = {}, self.known, {}, 0
+            self.others = {}
+        known, before, new = self.known, self.before, []
+        for s in set(chain.from_iterable(texts)).difference(known):
+            if (got := before.get(s)) is not None:
+                known[s] = got
+                self.used += 200 + 8 * len(s)
+            else:
+                new.append(s)
+        self.learn(new)
+        return self.known
 
     def ids(self, s: str, path: list[tuple[int, int, int]]) -> tuple[int, ...]:
         out: list[int] = []
@@ -204,22 +269,28 @@ class Model:
             return (MARK + text.replace(" ", f" {MARK}")).split(" ")
         return [p for p in self.cut.split(MARK + text.replace(" ", MARK)) if p]
 
-    def encode(self, text: str | None) -> list[tuple[float, np.ndarray]]:
-        """The N best segmentations of a text: (score, piece ids)."""
-        if not text:
-            return [(0.0, np.empty(0, np.int32))]
-        known, segments = self.known.get, self.segments(text)
-        found = [known(s) or self.best(s) for s in segments]
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, list[tuple[float, bytes]]]]:
+        """Of each text the library's encoding and the N best segmentations, best first: (score, piece ids, four bytes each)."""
+        split = [self.segments(t) if t else [] for t in texts]
+        known = self.met(split)
+        for segments in split:
+            found = [known[s] for s in segments]
+            yield b"".join([f[3] for f in found]), self.bests(segments, found)
+
+    def bests(self, segments: list[str], found: list[tuple]) -> list[tuple[float, bytes]]:
+        if not segments:
+            return [(0.0, b"")]
         best = [f[2] for f in found]
-        ends = [0, *accumulate(map(len, best))]
-        first = np.fromiter(chain.from_iterable(best), np.int32, ends[-1])
         top = sum([f[1] for f in found])
         # no more than N - 1 segments depart from their best in any of the N best
-        losses = np.fromiter([f[0] for f in found], np.float64, len(found))
-        some = [k for k in np.argsort(losses, kind="stable")[: self.n - 1].tolist() if losses[k] < np.inf]
-        others = {k: self.search(segments[k], self.n)[0] for k in some}
+        losses = np.array([f[0] for f in found])
+        few = min(self.n - 1, len(found))
+        some = np.flatnonzero(losses <= np.partition(losses, few - 1)[few - 1]) if few else []
+        some = [k for k in sorted(some, key=lambda k: (losses[k], k))[:few] if losses[k] < np.inf]
+        others = {k: self.alternatives(segments[k]) for k in some}
         options = [[found[k][1] - score for score, _ in others[k]] for k in some]
-        out, tick = [], count()
+        ends = [0, *accumulate(map(len, best))] if some else []
+        first, out, tick = b"".join(best), [], count()
         queue = [(0.0, next(tick), (), 0)]
         # a state: loss, choices so far as (option, alternative), next option that may still change
         while queue and len(out) < self.n:
@@ -230,20 +301,27 @@ class Model:
                 if alt + 1 < len(options[k]):
                     heapq.heappush(queue, (loss - options[k][alt] + options[k][alt + 1], next(tick), (*chosen[:-1], (k, alt + 1)), start))
             for k in range(start, len(options)):
-                heapq.heappush(queue, (loss + options[k][1], next(tick), (*chosen, (k, 1)), k + 1))
+                if len(options[k]) > 1:
+                    heapq.heappush(queue, (loss + options[k][1], next(tick), (*chosen, (k, 1)), k + 1))
         return out
 
+    def alternatives(self, s: str) -> list[tuple[float, bytes]]:
+        if (got := self.others.get(s)) is None:
+            got = self.others[s] = [(score, array("i", ids).tobytes()) for score, ids in self.search(s, self.n)[0]]
+            self.used += 100 + 150 * self.n
+        return got
+
     @staticmethod
-    def patched(first: np.ndarray, ends: list[int], others: dict, chosen: list[tuple[int, int]]) -> np.ndarray:
+    def patched(first: bytes, ends: list[int], others: dict, chosen: list[tuple[int, int]]) -> bytes:
         parts, at = [], 0
         for k, alt in sorted(chosen):
-            parts += [first[at : ends[k]], np.array(others[k][alt][1], np.int32)]
+            parts += [first[at : ends[k]], others[k][alt][1]]
             at = ends[k + 1]
-        return np.concatenate([*parts, first[at:]]) if parts else first
+        return b"".join([*parts, first[at:]]) if parts else first
 
-    def decode(self, ids: np.ndarray) -> str:
+    def decode(self, ids) -> str:
         """The text of piece ids; byte pieces join into characters."""
-        raw = b"".join(map(self.raw.__getitem__, np.asarray(ids).tolist()))
+        raw = b"".join(map(self.raw.__getitem__, array("i", ids)))
         text = raw.decode("utf-8", "surrogatepass" if b"\xed" in raw else "replace").replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 
@@ -264,41 +342,72 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
+def arrays(ids: list[bytes]) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
+def parts(text: pa.Array, rows: int = 500, chars: int = 4 << 20) -> Iterator[list[str | None]]:
+    """The texts in lists of no more than ``rows``, and ``chars`` unless one alone is longer."""
+    out, held = [], 0
+    for x in text:
+        value = x.as_py()
+        if out and (len(out) == rows or held + len(value or "") > chars):
+            yield out
+            out, held = [], 0
+        out.append(value)
+        held += len(value or "")
+    if out:
+        yield out
+
+
 def encoded(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
-    """``docs`` with ``pieces`` (ids of the best), ``scores`` of the N best and ``decoded``; those names are replaced."""
-    docs = docs.drop("pieces", "scores", "decoded")
+    """``docs`` with ``pieces`` (ids), ``scores`` of the N best, ``nbest`` (their ids), ``agrees`` and ``decoded``; those names are replaced.
+
+    Only the text goes to Python, and the rest of a row waits for its result.
+    """
+    docs = docs.drop("pieces", "scores", "nbest", "agrees", "decoded")
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<pieces:array<int>,scores:array<double>,nbest:array<array<int>>,agrees:boolean,decoded:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(data.value, n)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                best = [model.encode(x.as_py()) for x in part.column("text")]
-                ids = pa.array([b[0][1] for b in best], pa.list_(pa.int32()))
-                scores = pa.array([[s for s, _ in b] for b in best], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids, scores, pa.array([model.decode(b[0][1]) for b in best])], [*part.schema.names, "pieces", "scores", "decoded"])
-
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", pieces array<int>, scores array<double>, decoded string")
+        for text in without_cycles(batches):
+            own, scores, sizes, nbest, agrees, decoded = [], [], [0], [], [], []
+            for some in parts(text):
+                for ids, best in model.encode(some):
+                    own.append(ids)
+                    scores.append([s for s, _ in best])
+                    nbest += [x for _, x in best]
+                    sizes.append(len(nbest))
+                    agrees.append(ids == best[0][1])
+                    decoded.append(model.decode(ids))
+            every = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), arrays(nbest))
+            yield pa.StructArray.from_arrays(
+                [arrays(own), pa.array(scores, pa.list_(pa.float64())), every, pa.array(agrees, pa.bool_()), pa.array(decoded, pa.string())],
+                ["pieces", "scores", "nbest", "agrees", "decoded"],
+            )
+
+    return docs.withColumn("_e", run("text")).select(*docs.columns, "_e.*")
 
 
 def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
-    """doc_id, n_pieces, pieces_sha256 (of the best's ids, four bytes each, low first), nbest_sha256 (of all bests' in a row), scores and round_trip."""
+    """doc_id, n_pieces, pieces_sha256 (of the ids, four bytes each, low first), nbest_sha256 (of all bests' in a row), scores, agrees and round_trip."""
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<n_pieces:long,pieces_sha256:string,nbest_sha256:string,scores:array<double>,agrees:boolean,round_trip:boolean>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(data.value, n)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(at, 500), []
-                for x in part.column("text"):
-                    best = model.encode(x.as_py())
-                    shown = [ids.astype("<i4").tobytes() for _, ids in best]
-                    whole = hashlib.sha256(b"".join(shown)).hexdigest()
-                    same = model.decode(best[0][1]) == (x.as_py() or "").replace(MARK, " ")
-                    rows.append((len(best[0][1]), hashlib.sha256(shown[0]).hexdigest(), whole, [s for s, _ in best], same))
-                cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["doc_id", "n_pieces", "pieces_sha256", "nbest_sha256", "scores", "round_trip"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_pieces long, pieces_sha256 string, nbest_sha256 string, scores array<double>, round_trip boolean")
+        kinds = {"n_pieces": pa.int64(), "pieces_sha256": pa.string(), "nbest_sha256": pa.string(), "scores": pa.list_(pa.float64()), "agrees": pa.bool_(), "round_trip": pa.bool_()}
+        for text in without_cycles(batches):
+            rows = []
+            for some in parts(text):
+                for value, (ids, best) in zip(some, model.encode(some), strict=True):
+                    whole = hashlib.sha256(b"".join([x for _, x in best])).hexdigest()
+                    same = model.decode(ids) == (value or "").replace(MARK, " ")
+                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), whole, [s for s, _ in best], ids == best[0][1], same))
+            cols = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values(), strict=True)], list(kinds))
+
+    rows = docs.select(F.col("doc_id").cast("long"), run("text").alias("_e"))
+    return rows.select("doc_id", "_e.*")

@@ -2,13 +2,15 @@
 
 import base64
 import hashlib
+import os
 import re
+from array import array
 
 import numpy as np
 import pytest
 
 from tesserae.llm import counts, pieces, pii, toxicity, warc
-from tests.llm.cases import LONG, ROWS, documents, empty
+from tests.llm.cases import LONG, PASSAGE, ROWS, documents, empty
 
 TEXTS = [r[1] for r in ROWS if r[1]] + ["don't they're we'll 're !'s", "hi<|endoftext|>!!<|startoftext|> x <|endoftex", "\x1c a\x85b", "İstanbul ΣΑΣ é", " lead  trail ", "1234 3.14"]
 
@@ -18,6 +20,11 @@ def model():
     return pieces.Model(pieces.model_bytes(), 4)
 
 
+def nbest(model, text):
+    [(_, best)] = model.encode([text])
+    return best
+
+
 def as_unigram(data):
     """The model file with its kind changed, so that the library searches the same lattice."""
 
@@ -44,25 +51,74 @@ def test_nbest_equals_the_library(model):
     score = {i: s for s, i in model.score.values()}
     total = lambda ids: sum(score.get(i, 0) for i in ids)
     for text in ["hello world", "a", "The quick  brown", " lead", "seven silver foxes", "naïve façade"]:
-        mine, theirs = [ids.tolist() for _, ids in model.encode(text)], library.nbest_encode_as_ids(text, 4)
+        mine, theirs = [list(array("i", ids)) for _, ids in nbest(model, text)], library.nbest_encode_as_ids(text, 4)
         assert [total(x) for x in mine] == [total(x) for x in theirs]
         assert mine[0] == theirs[0] or total(mine[0]) == total(theirs[0])
 
 
 def test_pieces_round_trip(spark, model):
     for text in TEXTS:
-        best = model.encode(text)
+        best = nbest(model, text)
         assert model.decode(best[0][1]) == text
         scores = [s for s, _ in best]
-        assert scores == sorted(scores, reverse=True) and len({ids.tobytes() for _, ids in best}) == len(best)
+        assert scores == sorted(scores, reverse=True) and len({ids for _, ids in best}) == len(best)
         assert all(model.decode(ids) == text for _, ids in best)
     out = pieces.encoded(documents(spark))
     rows = out.collect()
     assert len(rows) == len(ROWS) and all(r.decoded == (r.text or "") for r in rows) and "score" in out.columns
+    assert all(len(r.nbest) == len(r.scores) and r.agrees == (r.nbest[0] == r.pieces) for r in rows)
     assert all(r.round_trip for r in pieces.digest(documents(spark)).collect())
     assert pieces.digest(empty(spark)).count() == 0
 
 
+def test_pieces_are_the_library_s(model):
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=pieces.model_bytes())
+    texts = [*TEXTS, "  ", "\n", "a▁b", "x\ty\n\nz", "\x00 \x07"]
+    if os.path.exists(at := "/root/testdata/sf0.001/documents.parquet"):
+        texts += pq.read_table(at).column("text").to_pylist()
+    for text, (ids, _) in zip(texts, model.encode(texts), strict=True):
+        assert list(array("i", ids)) == library.encode(text or ""), text
+
+
+def test_nbest_of_whole_texts_by_brute_force(model):
+    """All N best of a text against an N-best Viterbi over its whole lattice, uncut."""
+
+    def brute(text):
+        s = pieces.MARK + text.replace(" ", pieces.MARK)
+        tops = [[(0.0, ())], *[[] for _ in s]]
+        for b in range(1, len(s) + 1):
+            found = []
+            for a in range(max(0, b - 20), b):
+                if (got := model.score.get(s[a:b])) is not None:
+                    found += [(x + got[0], (*ids, got[1])) for x, ids in tops[a]]
+            if s[b - 1] not in model.singles:
+                found += [(x + model.low, (*ids, *model.ids(s, [(-1, b - 1, b)]))) for x, ids in tops[b - 1]]
+            tops[b] = sorted(found, reverse=True)[: model.n]
+        return tops[-1]
+
+    for text in ["The quick, brown fox; it's 12 o'clock.", "naïve façade 日本語 🙂 ok", " a  b ", "####!! (see [1], [2])", "\tx\n\ny", PASSAGE]:
+        got, want = nbest(model, text), brute(text)
+        assert [round(s, 3) for s, _ in got] == [round(s, 3) for s, _ in want], text
+
+
+def test_small_caches_change_nothing():
+    tight, roomy = pieces.Model(pieces.model_bytes(), 4, cache_bytes=1), pieces.Model(pieces.model_bytes(), 4)
+    few, many = counts.Counter(counts.vocabulary(), cache_bytes=1), counts.Counter(counts.vocabulary())
+    for text in TEXTS:
+        assert list(tight.encode([text])) == list(roomy.encode([text]))
+        assert few.table(text).tolist() == many.table(text).tolist()
+
+
+def test_other_vocabularies_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        counts.Counter(counts.vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def test_nbest_by_enumeration(model):
     def paths(s):
         if not s:
