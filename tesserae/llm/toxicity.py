@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import without_cycles
+
 WINDOW, TRAIN_STRIDE = 12, 6
 PART, OVERLAP = 24, 12
 #: Labelled rows of each label, at most, that the network is fitted on, and the bytes of the longest text among them.
 MAX_TRAIN, MAX_BYTES = 1500, 1 << 16
 THRESHOLD = 0.7
-#: Every which negative document is kept aside, and the share of those that may reach the threshold.
-ASIDE, MAX_FALSE = 5, 0.03
+#: Every which negative document is kept aside, the share of those that may reach the threshold, and that of positive ones that may not.
+ASIDE, MAX_FALSE, MISSED = 5, 0.02, 0.1
 WORDS, GRAMS, DIM, HIDDEN = 1 << 12, 1 << 14, 12, 8
 #: Bytes of the n-grams.
 GRAM_SIZES = (4, 6, 8)
@@ -303,7 +305,7 @@ def cut(ids: np.ndarray, sizes: list[int], stride: int = 1) -> tuple[np.ndarray,
     return np.where(inside, np.append(ids, 0)[np.minimum(at, len(ids))], 0), owner
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192, steps: int = 100, best: int = 3, common: float = 0.99, decay: float = 0.01) -> Network:
+def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192, steps: int = 100, best: int = 3, common: float = 0.998, decay: float = 0.01) -> Network:
     """A network fitted on whole texts and their 0/1 labels."""
     net, rng, y = Network(seed), np.random.default_rng(seed), np.array(labels)
     docs = [tokens(t) for t in texts]
@@ -365,10 +367,11 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, bat
                 net.adam(grads | words.gradients(met[1:] - 1, d[1:]), 0.01)
                 for name in ("word", "gram"):
                     net.p[name] *= 1 - decay
-    if len(aside) >= 1 / MAX_FALSE:  # too many of these at the threshold or above lower the bias
-        rows = np.flatnonzero(np.isin(owner, aside))
-        high = np.maximum.reduceat(all_logits(rows), np.flatnonzero(np.diff(owner[rows], prepend=-1)))
-        net.p["ob"] -= np.float32(max(0.0, np.quantile(high, 1 - MAX_FALSE) - np.log(THRESHOLD / (1 - THRESHOLD))))
+    # the threshold goes between the worst of the negatives kept aside and nearly all positives
+    highest = lambda some: np.maximum.reduceat(all_logits(some), np.flatnonzero(np.diff(owner[some], prepend=-1)))
+    low = np.quantile(highest(np.flatnonzero(np.isin(owner, aside))), 1 - MAX_FALSE)
+    high = np.quantile(highest(np.flatnonzero(y[owner] == 1)), MISSED)
+    net.p["ob"] -= np.float32((low + max(low, high)) / 2 - np.log(THRESHOLD / (1 - THRESHOLD)))
     return net
 
 
@@ -402,7 +405,7 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
         own = Network()
         own.p = weights.value
         scorer = Scorer(own)
-        for text in batches:
+        for text in without_cycles(batches):
             got = [scorer.scores([x.as_py() for x in text[at : at + 500]]) for at in range(0, len(text), 500)]
             yield pa.array(np.concatenate([np.empty(0), *got]), pa.float64())
 
