@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tesserae.llm import decontaminate, quality, sharding
 from tests.llm.cases import PASSAGE, ROWS, documents, empty
 
@@ -79,7 +81,7 @@ def test_quality(spark):
         assert not (r.base_failed and r.kept)
     assert {r.doc_id for r in got if r.kept} >= {1, 5}
     names = quality.order(documents(spark))
-    assert sorted(names) == sorted(quality.rules())
+    assert sorted(names) == sorted(quality.rules(F.col("text"), F.col("words")))
     assert {r.doc_id for r in quality.keep(documents(spark), names).collect()} == {r.doc_id for r in got if r.kept}
     assert sorted(map(str, quality.assess(documents(spark), list(reversed(names))).collect())) == sorted(map(str, got))
     assert quality.assess(empty(spark)).count() == 0
@@ -104,6 +106,37 @@ def test_sharding(spark):
     assert sorted(order) == list(range(5000)) and order != sorted(order)
 
 
+def test_cascade_leaves_work_out(spark):
+    """Rules after the one that rejects never run: the last here fails on any text that it sees."""
+    text = F.col("text")
+    trap = {"few_words": F.size(quality.words(text)) < 10, "trap": F.raise_error(F.lit("evaluated")).cast("boolean")}
+    few = spark.createDataFrame([(1, "too few"), (2, "")], "doc_id long, text string")
+    assert few.where(~quality.rejected(["few_words", "trap"], trap)).count() == 0
+    plan = quality.keep(documents(spark), list(quality.rules(text, text)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Filter") and plan.count("Filter ") == 1 and "Project" not in plan  # no measure is taken before the cascade
+
+
+def test_sharding_is_one_order(spark):
+    """Equal results whatever the partitions, with and without adaptive plans, and with repeated rows that fill buckets."""
+    rows = [(i % 400, f"text {i % 400} " + "pad " * (i % 50), i % 3) for i in range(1200)] + [(None, "a copy", 0)] * 700 + [(7, "b copy " * 30, k % 2) for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size int")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    seen = []
+    try:
+        for n, adaptive in (("1", "true"), ("4", "false"), ("7", "true"), ("200", "true"), ("7", "false")):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            got = sharding.shard(docs.repartition(int(n) % 5 + 1), 7, bucket_bytes=20_000).collect()
+            seen.append(sorted((r.shard, r.slot, str(r.doc_id), r.text) for r in got))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(seen[0]) == len(rows) and all(x == seen[0] for x in seen[1:])
+    assert sorted((d, t) for _, _, d, t in seen[0]) == sorted((str(d), t) for d, t, _ in rows)
+    copies = Counter(s // 20 for _, s, d, _ in seen[0] if d == "None")
+    assert len(copies) > 10  # spread over the whole order
+
+
 def test_write_shards(spark, tmp_path):
     sharding.write_shards(documents(spark), f"file://{tmp_path}/out", 3)
     assert spark.read.parquet(f"file://{tmp_path}/out").count() == len(ROWS)
