@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import without_cycles
+
 LIMIT = 2048
 END = "</w>"
 #: Pieces of text, in order, each with the blank before it; the last alternative is blanks at the end.
@@ -245,7 +247,7 @@ def counted(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(data.value)
-        for batch in batches:
+        for batch in without_cycles(batches):
             n, fits = [], []
             for text in batch.column("text"):
                 table = own.table(text.as_py())

@@ -4,8 +4,9 @@ An item becomes windows of ``size`` consecutive words (an item of fewer words
 is one window).  A window is the set of its word shingles with their offsets.
 Containment of the whole set needs one prefix token: the shingle that the
 documents hold least often.  Documents meet the windows on that token alone;
-the length bound drops short documents, the positional bound drops places
-where the window would not fit, and the words are then compared exactly.
+the positional bound drops places where the window would not fit, in the words
+around the token and so in a document that is too short for it, and the words
+are then compared exactly.
 
 Words: A-Z in lower case, then runs of ``[0-9a-z]`` and all beyond ASCII.
 The documents are scanned once; where they hold a token is kept with the words
@@ -129,4 +130,4 @@ def clean(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2,
     bad = written(found.select(F.col("doc_id").alias("_bad"), F.col("_t").alias("_bad_t")).distinct(), "contaminated")
     if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 16 bytes each
         bad = F.broadcast(bad)
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_bad_t")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs["text"]) == bad["_bad_t"]), "left_anti")

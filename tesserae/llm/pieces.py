@@ -74,7 +74,7 @@ def fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Model:
     """Pieces and scores of a model file, and N-best search over them."""
 
-    def __init__(self, data: bytes, n: int = 4, cache_bytes: int = 200 << 20):
+    def __init__(self, data: bytes, n: int = 4, cache_bytes: int = 150 << 20):
         from sentencepiece import SentencePieceProcessor
 
         self.n, self.room, self.used, self.known, self.before, self.single, self.others = n, cache_bytes, 0, {}, {}, {}, {}

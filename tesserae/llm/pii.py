@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import join_hot, written
+from tesserae.llm.common import join_hot, unused, without_cycles, written
 
 KINDS = ["email", "ip", "card", "phone"]
 SUPPORT, ALPHA, REMOVE = 2, 0.9, 0.999
@@ -104,7 +104,7 @@ def find(docs: DataFrame) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("kind", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("entities", words), ("terms", words), ("inside", words)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in without_cycles(batches):
             rows = []
             for doc, t, text in zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), (x.as_py() for x in batch.column("text")), strict=True):
                 if spans := base_spans(text):
@@ -159,7 +159,7 @@ def places(docs: DataFrame, told: DataFrame) -> DataFrame:
     arrow = pa.schema([("_d", pa.int64()), ("_t", pa.int64()), ("terms", pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("share", pa.float64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in without_cycles(batches):
             at = []
             for text, shares in zip((x.as_py() for x in batch.column("text")), (x.as_py() for x in batch.column("told")), strict=True):
                 share = {x["term"]: x["share"] for x in shares}
@@ -219,17 +219,18 @@ def masked(text: str | None, base: list, terms: list) -> str | None:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` masked; all rows and columns stay."""
-    found = spans(docs).where((F.size("base") > 0) | F.col("terms").isNotNull()).select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "base", "terms")
-    found = written(found.select("_d", "_t", F.struct("base", "terms").alias("_found")), "found")
-    n = F.size("_found.base") + F.size(F.coalesce("_found.terms", F.array()))
+    name, d, t = (unused(x, docs) for x in ("_found", "_d", "_t"))
+    found = spans(docs).where((F.size("base") > 0) | F.col("terms").isNotNull()).select(F.col("doc_id").alias(d), F.col("t").alias(t), F.struct("base", "terms").alias(name))
+    found = written(found, "found")
+    n = F.size(f"{name}.base") + F.size(F.coalesce(f"{name}.terms", F.array()))
     if (found.agg(F.sum(n)).first()[0] or 0) <= BROADCAST_FOUND:
         found = F.broadcast(found)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
-    both = docs.join(found, same, "left")
+    both = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found[d]) & (F.xxhash64(docs["text"]) == found[t]), "left")
 
     @F.pandas_udf("string")
     def mask(text: pd.Series, base: pd.Series, terms: pd.Series) -> pd.Series:
         return pd.Series([masked(x, b, t) for x, b, t in zip(text, base, terms, strict=True)], dtype=object)
 
-    touched = both.where("_found is not null").withColumn("text", mask("text", "_found.base", "_found.terms"))
-    return touched.unionByName(both.where("_found is null")).select(*docs.columns)
+    there = F.col(name).isNotNull()
+    touched = both.where(there).withColumn("text", mask("text", f"{name}.base", f"{name}.terms"))
+    return touched.unionByName(both.where(~there)).select(*docs.columns)

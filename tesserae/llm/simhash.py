@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import join_hot, written
+from tesserae.llm.common import join_hot, unused, without_cycles, written
 from tesserae.llm.graph import components
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> Dat
     """doc_id, ``t`` (a hash of the text) and ``fp``, the fingerprint as a signed long, for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in without_cycles(batches):
             fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("t"), pa.array(fps.view(np.int64))], ["doc_id", "t", "fp"])
 
@@ -172,10 +172,10 @@ def placed(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: in
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
     classes = rows.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n"))
     linked = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    classes = classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    classes = written(classes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "classes")
     roots = classes.groupBy("root").agg(F.min("first").alias("top"), F.count("*").alias("members"))
-    roots = roots.select("root", "members", F.col("top.doc_id").alias("component_id"), F.col("top.t").alias("component_t"))
-    known = join_hot(classes.select("fp", "n", "root"), roots, "root", "members").select("fp", "n", "component_id", "component_t")
+    roots = written(roots.select("root", "members", F.col("top.doc_id").alias("component_id"), F.col("top.t").alias("component_t")), "roots")
+    known = written(join_hot(classes.select("fp", "n", "root"), roots, "root", "members").select("fp", "n", "component_id", "component_t"), "known")
     return join_hot(rows, known, "fp", "n").select("doc_id", "t", "fp", "component_id", "component_t")
 
 
@@ -195,8 +195,9 @@ def deduplicate(docs: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
     gone = found.where(~stays).select(F.col("doc_id").alias("_gone"), F.col("t").alias("_gone_t")).distinct()
     if gone.limit(broadcast_rows + 1).count() <= broadcast_rows:  # 16 bytes each
         gone = F.broadcast(gone)
-    left = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_t")), "left_anti")
+    left = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_t"]), "left_anti")
     again = found.where(stays).groupBy("doc_id", "t").count().where("count > 1")
     if again.take(1):
-        left = left.withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
+        t = unused("_t", docs)
+        left = left.withColumn(t, F.xxhash64("text")).dropDuplicates(["doc_id", t]).drop(t)
     return left

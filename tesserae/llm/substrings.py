@@ -34,6 +34,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import without_cycles
+
 LENGTH, GRAM = 50, 12
 SPAN = LENGTH - GRAM + 1  # grams in a string
 WIDTH = 11  # a stretch in 64-bit words
@@ -62,8 +64,15 @@ def eights(data: np.ndarray, n: int) -> np.ndarray:
     return out[:n]
 
 
-def stretches(texts: list[bytes], docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (``ROW``) of every anchor of the texts, and the hash of its gram."""
+def pieces(data: bytes, size: int = BUFFER) -> Iterator[tuple[int, bytes]]:
+    """A text in parts of ``size`` bytes and where each begins; every string of ``LENGTH`` bytes is in one of them, and in one alone."""
+    step = size - LENGTH + 1
+    for at in range(0, max(1, len(data) - LENGTH + 1), step):
+        yield at, data[at : at + size]
+
+
+def stretches(texts: list[bytes], docs: np.ndarray, hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (``ROW``) of every anchor of the texts, each of which begins at ``begins`` in its document, and the hash of its gram."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     end = np.cumsum(size)
     total = int(end[-1]) if len(end) else 0
@@ -96,7 +105,7 @@ def stretches(texts: list[bytes], docs: np.ndarray, hashes: np.ndarray) -> tuple
         keep = np.clip(length - 8 * k, 0, 8).astype(np.uint64)
         mask = np.where(keep == 8, ~np.uint64(0), (np.uint64(1) << (keep * np.uint64(8))) - np.uint64(1))
         rows["words"][:, k] = eight[at + 8 * k] & mask
-    rows["doc"], rows["text"], rows["at"] = docs[owner], hashes[owner], at - (end - size)[owner]
+    rows["doc"], rows["text"], rows["at"] = docs[owner], hashes[owner], at - (end - size)[owner] + begins[owner]
     rows["left"], rows["n"] = anchor - at, n
     return rows, grams(anchor)
 
@@ -125,6 +134,15 @@ class Family:
     def __init__(self):
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
+    @staticmethod
+    def scan(own: np.ndarray, have: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in either of two sorted arrays, each without repeats, of the strings that both hold: one scan over their merge."""
+        order = np.argsort(np.concatenate((own, have)), kind="stable")  # two sorted runs, which it merges
+        here = order < len(own)
+        value = np.concatenate((own, have))[order]
+        both = np.flatnonzero(here[:-1] & ~here[1:] & (value[:-1] == value[1:]))
+        return order[both], order[both + 1] - len(own)
+
     def add(self, strings: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """Index a batch whose documents are no smaller than all before; returns the smallest document of each string."""
         order = np.lexsort((docs, strings))
@@ -132,9 +150,8 @@ class Family:
         new = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
         own, low = sorted_[new], docs[order][new]
         for have, have_low in self.levels:
-            at = np.minimum(np.searchsorted(have, own), len(have) - 1)
-            hit = have[at] == own
-            low = np.where(hit, np.minimum(low, have_low[at]), low)
+            mine, theirs = self.scan(own, have)
+            low[mine] = np.minimum(low[mine], have_low[theirs])
         least = np.empty_like(docs)
         least[order] = low[np.cumsum(new) - 1]
         self.levels.append((own, low))
@@ -224,9 +241,9 @@ def unpack(data: bytes) -> list[np.ndarray]:
 def scanned(buckets: int, told_apart: bool):
     """For mapInArrow: documents to rows (bucket, packed stretches and flags)."""
 
-    def one(texts: list[bytes], docs: list[int], hashes: list[int]) -> pa.RecordBatch:
+    def one(texts: list[bytes], docs: list[int], hashes: list[int], begins: list[int]) -> pa.RecordBatch:
         order = np.argsort(np.array(docs, np.int64), kind="stable")
-        rows, grams = stretches([texts[i] for i in order], np.array(docs, np.int64)[order], np.array(hashes, np.int64)[order])
+        rows, grams = stretches([texts[i] for i in order], *(np.array(x, np.int64)[order] for x in (docs, hashes, begins)))
         first, later = first_of_each(rows)
         to = ((grams & np.uint64(0xFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
         gone = flags(rows[later])
@@ -240,20 +257,21 @@ def scanned(buckets: int, told_apart: bool):
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, docs, hashes, held = [], [], [], 0
-        for batch in batches:
+        texts, docs, hashes, begins, held = [], [], [], [], 0
+        for batch in without_cycles(batches):
             for doc, h, text in zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), (x.as_py() for x in batch.column("text")), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                if held and held + len(data) > BUFFER:
-                    yield one(texts, docs, hashes)
-                    texts, docs, hashes, held = [], [], [], 0
-                if len(data) >= LENGTH:
-                    texts.append(data)
-                    docs.append(doc)
-                    hashes.append(h if told_apart else 0)
-                    held += len(data)
+                for begin, data in pieces(text.encode("utf-8", "surrogatepass")):
+                    if held and held + len(data) > BUFFER:
+                        yield one(texts, docs, hashes, begins)
+                        texts, docs, hashes, begins, held = [], [], [], [], 0
+                    if len(data) >= LENGTH:
+                        texts.append(data)
+                        docs.append(doc)
+                        hashes.append(h if told_apart else 0)
+                        begins.append(begin)
+                        held += len(data)
         if texts:
-            yield one(texts, docs, hashes)
+            yield one(texts, docs, hashes, begins)
 
     return run
 
@@ -267,7 +285,7 @@ def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x["doc"]), pa.array(x["text"]), pa.array((x["at"] << 8) | x["n"])], ["doc", "text_hash", "at"])
 
     now, held = None, []
-    for batch in batches:
+    for batch in without_cycles(batches):
         for bucket, data in zip(batch.column("bucket").to_pylist(), (x.as_py() for x in batch.column("data")), strict=True):
             if bucket != now and held:
                 for f in settled(np.concatenate(held)):
