@@ -123,11 +123,12 @@ def test_languages(spark):
     assert lang("ES-mx", "french") == "fr" and lang("spa", None) == "sp" and lang(None, "Farsi") == "fa" and lang("nan", "xx") == "xx" and lang("", "Klingon") is None
 
 
-def test_chunks():
-    assert enrich.chunks("One. Two. Three", 10) == ["One. Two.", " Three"] and enrich.chunks("abcdefgh", 3) == ["abc", "def", "gh"]
-    assert enrich.chunks("", 5) == [] and enrich.chunks("a, b c d", 5) == ["a,", " b c ", "d"]
+def test_chunks(spark):
+    chunks = lambda text, most: one(spark, enrich.chunks(F.col("t"), most), t=text)
+    assert chunks("One. Two. Three", 10) == ["One. Two.", " Three"] and chunks("abcdefgh", 3) == ["abc", "def", "gh"]
+    assert chunks("", 5) == [] and chunks("a, b c d", 5) == ["a,", " b c ", "d"]
     text = "Some words; more words! And 一。二。三 " * 30
-    assert "".join(enrich.chunks(text, 50)) == text and max(map(len, enrich.chunks(text, 50))) <= 50
+    assert "".join(chunks(text, 50)) == text and max(map(len, chunks(text, 50))) <= 50
     assert enrich.packed(["a", "b", "c"], [3, 3, 9], 6) == [["a", "b"], ["c"]]
 
 
