@@ -19,6 +19,28 @@ ISO_BY_NAME = {
 }
 
 
+# The codes of a translation model by ISO code.
+TRANSLATOR_CODES = {
+    "af": "afr_Latn", "am": "amh_Ethi", "ar": "arb_Arab", "az": "azj_Latn", "be": "bel_Cyrl", "bg": "bul_Cyrl", "bs": "bos_Latn", "ca": "cat_Latn", "cs": "ces_Latn",
+    "da": "dan_Latn", "de": "deu_Latn", "el": "ell_Grek", "en": "eng_Latn", "es": "spa_Latn", "et": "est_Latn", "fa": "pes_Arab", "fi": "fin_Latn", "fr": "fra_Latn",
+    "ga": "gle_Latn", "he": "heb_Hebr", "hi": "hin_Deva", "hr": "hrv_Latn", "hu": "hun_Latn", "hy": "hye_Armn", "id": "ind_Latn", "is": "isl_Latn", "it": "ita_Latn",
+    "ja": "jpn_Jpan", "ka": "kat_Geor", "kk": "kaz_Cyrl", "ko": "kor_Hang", "lt": "lit_Latn", "lv": "lvs_Latn", "mk": "mkd_Cyrl", "ms": "zsm_Latn", "nl": "nld_Latn",
+    "no": "nob_Latn", "pl": "pol_Latn", "ps": "pbt_Arab", "pt": "por_Latn", "ro": "ron_Latn", "ru": "rus_Cyrl", "sk": "slk_Latn", "sl": "slv_Latn", "sq": "als_Latn",
+    "sr": "srp_Cyrl", "sv": "swe_Latn", "sw": "swh_Latn", "th": "tha_Thai", "tr": "tur_Latn", "uk": "ukr_Cyrl", "ur": "urd_Arab", "vi": "vie_Latn", "zh": "zho_Hans",
+}
+
+
+def translator_code(iso: Column) -> Column:
+    """The translation model's code of an ISO code, null if it has none."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in TRANSLATOR_CODES.items() for x in pair]), iso)
+
+
+def date_hint(detected: Column, name: Column) -> Column:
+    """The language whose month names a document's dates may have; null on any doubt, as a wrong one is worse than none."""
+    code = source_language(detected, name)
+    return F.when(code.rlike(r"^\p{L}{2}$"), F.lower(code))
+
+
 def source_language(detected: Column, name: Column) -> Column:
     """ISO code: the detected one, else that of the name, else a name that is a code; null if unknown."""
     d, n = F.lower(strip(nz(detected))), F.lower(strip(nz(name)))

@@ -30,6 +30,7 @@ BLOCK_SIGNATURES = [
     "access denied", "request unsuccessful. incapsula incident", "the requested url was rejected", "this website is using a security service to protect itself",
 ]
 BLOCK_CHARS = 3000
+META_CHARSET, HEADER_CHARSET = r"""(?i)<meta[^>]+charset\s*=\s*["']?\s*([A-Za-z0-9_.:-]+)""", r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)"
 
 
 class Node:
@@ -195,6 +196,41 @@ def links(root: Node, url: str, selector: str = "a") -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def owner(node: Node, items: set[int]) -> Node | None:
+    """The nearest ancestor that is one of the item blocks, told by identity."""
+    while (node := node.parent) is not None:
+        if id(node) in items:
+            return node
+    return None
+
+
+def listing(root: Node, url: str, item: str, title: Sequence[str], date: Sequence[str], anchors: str = "a") -> list[tuple[str, str, str]]:
+    """(address, title, date as written) of each link, from the item block that holds it; ``''`` where there is none.
+
+    A link that several blocks hold keeps the first one's.
+    """
+    items = {id(n) for n in select(root, item)} if item else set()
+    out: dict[str, tuple[str, str, str]] = {}
+    for a in select(root, anchors):
+        if not (href := a.attrs.get("href")):
+            continue
+        try:
+            [address] = links(parse_anchor(root, href), url)
+        except ValueError:
+            continue
+        block = owner(a, items)
+        if address not in out:
+            out[address] = (address, " ".join(first_match(block, title).split()) if block else "", first_match(block, date).strip() if block else "")
+    return list(out.values())
+
+
+def parse_anchor(root: Node, href: str) -> Node:
+    """A page with the base of ``root`` and one anchor."""
+    page = Node("", {}, None)
+    page.children += [n for n in root.all() if n.tag == "base"][:1] + [Node("a", {"href": href}, page)]
+    return page
+
+
 def article(root: Node) -> str:
     """The block that holds most paragraph text: an approximation for pages without selectors."""
     weight: dict[int, tuple[int, Node]] = {}
@@ -235,6 +271,42 @@ def article_text(html: pd.Series) -> pd.Series:
     return pd.Series([article(parse(h)) for h in html], dtype=object)
 
 
+def listing_meta(pages: DataFrame, item: str, title: Sequence[str], date: Sequence[str], anchors: str = "a", html: str = "html", url: str = "url") -> DataFrame:
+    """``pages`` without ``html``, a row for each link: ord, link, title and date_raw of its item block."""
+
+    @F.pandas_udf("array<struct<link:string,title:string,date_raw:string>>")
+    def run(html: pd.Series, url: pd.Series) -> pd.Series:
+        names = ("link", "title", "date_raw")
+        return pd.Series([[dict(zip(names, x, strict=True)) for x in listing(parse(h), u or "", item, title, date, anchors)] for h, u in zip(html, url, strict=True)])
+
+    other = [c for c in pages.columns if c != html]
+    return pages.select(*other, F.posexplode(run(html, url)).alias("ord", "_x")).select(*other, "ord", "_x.*")
+
+
+def decoded(data: Column, override: Column | None = None, header: Column | None = None) -> Column:
+    """The text of a page's bytes by ``charset``; an unknown charset gives way to the next, and bad bytes are replaced."""
+    head = F.decode(F.substring(data, 1, 4096), "ISO-8859-1")
+    none = F.lit("")
+
+    @F.pandas_udf("string")
+    def run(data: pd.Series, *names: pd.Series) -> pd.Series:
+        out = []
+        for raw, *given in zip(data, *names, strict=True):
+            text = None
+            for name in (*given, "utf-8"):
+                try:
+                    text = None if raw is None else bytes(raw).decode(name, "replace") if name else text
+                except LookupError:
+                    continue
+                if raw is None or name:
+                    break
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    meta = F.regexp_extract(head, META_CHARSET, 1)
+    return run(data, nz(override) if override is not None else none, F.regexp_extract(nz(header), HEADER_CHARSET, 1) if header is not None else none, meta)
+
+
 def signed(html: Column, extra: Sequence[str] = ()) -> Column:
     """Whether a page holds a phrase of those that deny access."""
     low, out = F.lower(nz(html)), F.lit(False)
@@ -251,8 +323,8 @@ def blocked(pages: DataFrame, html: str = "html", extra: Sequence[str] = ()) ->
 
 def charset(html: Column, override: Column | None = None, header: Column | None = None) -> Column:
     """The stated override, else that of the header, else of the page's first 4096 characters, else utf-8."""
-    meta = F.regexp_extract(F.substring(nz(html), 1, 4096), r"""(?i)<meta[^>]+charset\s*=\s*["']?\s*([A-Za-z0-9_.:-]+)""", 1)
-    head = F.regexp_extract(nz(header), r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", 1) if header is not None else F.lit("")
+    meta = F.regexp_extract(F.substring(nz(html), 1, 4096), META_CHARSET, 1)
+    head = F.regexp_extract(nz(header), HEADER_CHARSET, 1) if header is not None else F.lit("")
     given = nz(override) if override is not None else F.lit("")
     return F.lower(F.when(given != "", given).when(head != "", head).when(meta != "", meta).otherwise("utf-8"))
 

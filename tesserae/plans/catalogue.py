@@ -12,28 +12,16 @@ from tesserae.functions import languages as L
 from tesserae.functions import text as T
 from tesserae.functions import urls as U
 from tesserae.operators import duplicates, enrich, folds, gate, html, links, tenure
-from tesserae.plans.views import table, view, with_views
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def keep(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = with_views(sql)
-        return f
-
-    return keep
+from tesserae.plans.registry import ORACLES, QUERIES, query
+from tesserae.plans.views import table, view
+from tesserae.sources import files
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dup_clusters(spark, sf_dir)
 
 
-def queries() -> dict[str, Query]:
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
@@ -42,29 +30,24 @@ def oracle_sql() -> dict[str, str]:
 
 
 c = F.col
-NORMAL = r"regexp_replace(regexp_replace(lower(text), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')"
-CLUSTERS = rf"""
-with r as (select *, {NORMAL} norm from v_rows where regexp_replace(coalesce(text, ''), '\s', '', 'g') <> ''),
-g as (select source_id, sha1(norm) h, count(*) n, arg_min(text, ord) text, arg_min(norm, ord) norm, list(doc_id order by ord) ids, list(url order by ord) us,
-  list_sort(list_distinct(list(title))) ts, list_distinct(list(regexp_replace(regexp_replace(url, '^https?://(www\.)?', ''), '(:80)?(/[^?]*?)/*(\?.*)?$', '\2'))) pl from r group by all having count(*) >= 2),
-k as (select *, list_distinct(list_transform(pl, lambda x: regexp_extract(x, '^([^/]*)', 1))) hosts, list_distinct(list_transform(pl, lambda x: regexp_replace(x, '^[^/]*', ''))) paths from g)
-select source_id, h[1:12] text_hash, n, n - 1 extra,
-  case when length(norm) < 300 and (length(norm) < 120 or regexp_matches(lower(text), 'under construction|higher resolution|link to video|page not found|access denied|coming soon')) then 'junk_stub'
-    when len(pl) = 1 then 'url_variant' when len(paths) = 1 and len(hosts) > 1 then 'mirror'
-    when len(list_distinct(list_transform(paths, lambda x: regexp_extract(x, '/(\d{{2,}})(/|$)', 1)))) = 1 then 'id_variant'
-    when len(list_distinct(list_transform(paths, lambda x: regexp_replace(x, '-\d+$', '')))) = 1 then 'slug_variant' else 'shared_text_suspect' end cause,
-  length(text)::int chars, array_to_string(ids[1:8], ' | ') doc_ids, array_to_string(us[1:8], ' | ') urls, '' captures, array_to_string(ts[1:4], ' | ') titles from k
-"""
-
-
-@query(CLUSTERS)
+CLUSTERS = r"""r as (select *, case when regexp_replace(coalesce(text, ''), '\s', '', 'g') <> '' then text else text_originlanguage end tx from v_dups),
+n as (select *, sha1(regexp_replace(regexp_replace(lower(tx), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')) h, regexp_replace(regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www\.', ''), ':\d*$', '') host, rtrim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') path from r where regexp_replace(coalesce(tx, ''), '\s', '', 'g') <> ''),
+f as (select *, regexp_extract_all(path, '/(\d{2,})(?:/|$)', 1) ids, first_value(regexp_extract_all(path, '/(\d{2,})(?:/|$)', 1)) over (partition by source_id, h order by host, path) ids0 from n),
+g as (select source_id, h, min(country) country, count(*) n, arg_min(tx, ord) tx, list(doc_id order by ord)[1:8] di, list(url order by ord)[1:8] ur, list_sort(list_distinct(list(capture) filter (capture <> '')))[1:8] ca, list_sort(list_distinct(list(title)))[1:4] ti,
+  count(distinct host || path) np, count(distinct path) npath, count(distinct host) nh, count(distinct regexp_replace(path, '-\d+$', '')) ns, bool_and(len(list_intersect(ids, ids0)) > 0) same from f group by all having count(*) >= 2),
+k as (select *, length(regexp_replace(regexp_replace(lower(tx), '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')) l from g),
+q as (select source_id, country, case when l < 300 and (l < 120 or contains(lower(tx), 'page not found')) then 'junk_stub' when np = 1 then 'url_variant' when npath = 1 and nh > 1 then 'mirror' when same then 'id_variant' when ns = 1 then 'slug_variant' else 'shared_text_suspect' end cause,
+  n, n - 1 extra, length(tx)::int chars, h[1:12] text_hash, array_to_string(di, ' | ') doc_ids, array_to_string(ur, ' | ') urls, coalesce(array_to_string(ca, ' | '), '') captures, array_to_string(ti, ' | ') titles, regexp_replace(tx[1:300], '\s+', ' ', 'g') text_head from k)"""
+
+
+@query(f"with {CLUSTERS} select * from q")
 def dup_clusters(spark, d):
-    return duplicates.clusters(view(spark, d, "v_rows"))
+    return duplicates.clusters(view(spark, d, "v_dups"))
 
 
-@query(f"with {CLUSTERS.strip()[5:].replace('select source_id, h[1:12]', ', q as (select source_id, h[1:12]').replace('from k', 'from k)')} select cause, sum(extra)::bigint extra_rows, count(*) n_clusters from q group by cause".replace("from g)\n, q", "from g), q"))
+@query(f"with {CLUSTERS} select cause, sum(extra)::bigint extra_rows, count(*) n_clusters from q group by cause")
 def dup_extra_by_cause(spark, d):
-    return duplicates.by_cause(duplicates.clusters(view(spark, d, "v_rows")))
+    return duplicates.by_cause(duplicates.clusters(view(spark, d, "v_dups")))
 
 
 HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '^www\.', '')"
@@ -137,15 +120,20 @@ def head_lines(spark, d):
     return table(spark, d, "documents").select("doc_id", T.first_line(t).alias("first_line"), T.head_lines(t).alias("head"), F.size(T.filled_lines(t)).alias("n_lines"))
 
 
-@query(r"select conv_id, turn, len(list_filter(regexp_split_to_array(regexp_replace(trim(text), '([.!?。！？])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> ''))::int n_sentences from conversations")
+@query(r"select conv_id, turn, list_filter(regexp_split_to_array(regexp_replace(trim(text), '([.!?。！？])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x) <> '') sentences from conversations")
 def sentences(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", F.size(T.sentences(c("text"))).alias("n_sentences"))
+    return table(spark, d, "conversations").select("conv_id", "turn", T.sentences(c("text")).alias("sentences"))
 
 
-@query()
+LAST = lambda mark: f"(case when contains(w, {mark}) then length(w) - strpos(reverse(w), reverse({mark})) + 2 - length({mark}) else 0 end)"
+CUT = f"""case when length(rest) <= 400 then length(rest) when greatest({LAST("'. '")}, {LAST("'.' || chr(10)")}, {LAST("'。'")}) > 0 then greatest({LAST("'. '")}, {LAST("'.' || chr(10)")}, {LAST("'。'")})
+  {" ".join(f"when {LAST(m)} > 0 then {LAST(m)}" for m in ("'? '", "'! '", "'; '", "', '", "chr(10)", "' '"))} else 400 end"""
+
+
+@query(f"""with recursive r as (select doc_id, -1 k, '' chunk, text rest from documents where text <> '' union all select doc_id, k + 1, rest[1:cut], rest[cut + 1:] from (select *, {CUT} cut from (select *, rest[1:400] w from r where rest <> '') a) b)
+select doc_id, k, chunk from r where k >= 0""")
 def chunk_text(spark, d):
-    """Greedy cuts at sentence ends; SQL has no such loop, so tests hold it against the rule."""
-    return table(spark, d, "documents").select("doc_id", F.posexplode(enrich.chunked(400)("text")).alias("k", "chunk"))
+    return table(spark, d, "documents").select("doc_id", F.posexplode(enrich.chunks(c("text"), 400)).alias("k", "chunk"))
 
 
 @query(r"select page_id, replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&amp;', '&') title, replace(trim(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)), '&amp;', '&') h1 from pages")
@@ -154,9 +142,9 @@ def html_fields(spark, d):
     return pages.select("page_id", "title", "h1")
 
 
-@query("select page_id, len(list_distinct(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)))::int n_links from pages")
+@query("select page_id, list_transform(list_distinct(list_sort(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))), lambda x: regexp_extract(url, '^(https?://[^/?#]*)', 1) || x).list_sort() found from pages")
 def html_links(spark, d):
-    return table(spark, d, "pages").select("page_id", F.size(html.page_links("html", "url")).alias("n_links"))
+    return table(spark, d, "pages").select("page_id", F.array_sort(html.page_links("html", "url")).alias("found"))
 
 
 @query()
@@ -197,12 +185,22 @@ def head_date(spark, d):
     return dated(spark, d).select("doc_id", D.head_date(c("text"), max_year=F.lit(2030)).alias("head_date"))
 
 
-@query("""select o_orderkey doc_id, strftime(date '0001-01-01' + ((365 * jy + (jy // 33) * 8 + ((jy % 33 + 3) // 4) + jd + case when jm < 7 then (jm - 1) * 31 else (jm - 7) * 30 + 186 end - 355668 - 366)::int), '%Y-%m-%d') iso, 'day' "precision"
-from (select o_orderkey, 1595 + 1380 + o_orderkey % 40 jy, o_orderkey % 12 + 1 jm, o_orderkey % 29 + 1 jd from orders)""")
+HIJRI = "فروردین اردیبهشت خرداد تیر مرداد شهریور مهر آبان آذر دی بهمن اسفند"
+
+
+# counted from New Year's Day of 1400, year by year
+@query("""with n as (select y, sum(365 + (y % 33 in (1, 5, 9, 13, 17, 22, 26, 30))::int) over (order by y) - (365 + (y % 33 in (1, 5, 9, 13, 17, 22, 26, 30))::int) c from range(1300, 1421) t(y)), o as (select o_orderkey k, 1380 + o_orderkey % 40 jy, o_orderkey % 12 + 1 jm, o_orderkey % 29 + 1 jd from orders)
+select k doc_id, case when k % 5 = 4 then (jy + 621)::varchar else strftime(date '2021-03-21' + (n.c - (select c from n where y = 1400) + coalesce(list_sum([31, 31, 31, 31, 31, 31, 30, 30, 30, 30, 30][1:jm - 1]), 0) + jd - 1)::int, '%Y-%m-%d') end iso, case when k % 5 = 4 then 'year' else 'day' end "precision" from o join n on n.y = o.jy""")
 def hijri_date(spark, d):
-    text = F.expr("concat('تاریخ ', cast(1380 + o_orderkey % 40 as string), '/', cast(o_orderkey % 12 + 1 as string), '/', cast(o_orderkey % 29 + 1 as string))")
+    month = F.get(F.array(*[F.lit(x) for x in HIJRI.split()]), (c("o_orderkey") % 12).cast("int"))
+    y, m, day = ((c("o_orderkey") % 40 + 1380).cast("string"), (c("o_orderkey") % 12 + 1).cast("string"), (c("o_orderkey") % 29 + 1).cast("string"))
+    arabic = F.translate(F.concat(day, F.lit(" "), month, F.lit(" "), y), "0123456789", "۰۱۲۳۴۵۶۷۸۹")
+    text = (
+        F.when(c("o_orderkey") % 5 == 0, F.concat(F.lit("تاریخ "), y, F.lit("/"), m, F.lit("/"), day)).when(c("o_orderkey") % 5 == 1, F.concat(F.lit("در "), arabic, F.lit(" سال 1399")))
+        .when(c("o_orderkey") % 5 == 2, F.concat(y, F.lit(" "), month, F.lit(" "), day)).when(c("o_orderkey") % 5 == 3, F.concat(F.lit("جلسه "), day, month, y)).otherwise(F.concat(F.lit("در سال "), y, F.lit(" گفت")))
+    )
     got = D.hijri_date(text)
-    return table(spark, d, "orders").select(c("o_orderkey").alias("doc_id"), got["date"].alias("iso"), got["precision"].alias("precision"))
+    return table(spark, d, "orders").select(c("o_orderkey").alias("doc_id"), got.alias("g")).select("doc_id", c("g.date").alias("iso"), c("g.precision").alias("precision"))
 
 
 @query("select doc_id, try_cast(concat(y, '-', m, '-', d + 3) as date)::varchar url_date from v_heads")
@@ -371,15 +369,17 @@ def backoff(spark, d):
     return table(spark, d, "events").select("event_id", folds.backoff(c("event_id") % 9, 0.5).alias("delay"))
 
 
-@query("select event_id, json_extract_string(props, '$.k') k from events")
+@query("""select event_id, 0 ord, json_extract_string(props, '$.k') k, 'deep' || event_id t from events union all select event_id, 1, null, 'second' from events""")
 def api_json(spark, d):
-    return table(spark, d, "events").select("event_id", F.expr("try_variant_get(parse_json(props), '$.k', 'string')").alias("k"))
+    raw = F.concat(F.lit('{"d": {"r s": [{"props": '), c("props"), F.lit(', "x": [{"t": "deep'), c("event_id").cast("string"), F.lit('"}]}, {"x": [{"t": "second"}]}]}}'))
+    return files.api_items(table(spark, d, "events").select("event_id", raw.alias("raw")), "$.d['r s']", {"k": "$.props.k", "t": "$.x[0].t"})
 
 
-@query("select event_type, user_id, map_values(map_from_entries(list((event_id::varchar, value) order by event_id)))[1] first_value from events group by all")
+@query("select event_type, user_id, 'K' || (event_id % 5) k, arg_max(value, event_id) v from events group by all")
 def cells_pivot(spark, d):
-    listed = F.array_sort(F.collect_list(F.struct("event_id", "value")))
-    return table(spark, d, "events").groupBy("event_type", "user_id").agg(listed.alias("l")).select("event_type", "user_id", F.get("l", F.lit(0))["value"].alias("first_value"))
+    pairs = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "value"))), lambda x: F.struct(F.concat(F.lit("K"), (x["event_id"] % 5).cast("string")).alias("Key"), x["value"].alias("Value")))
+    rows = table(spark, d, "events").groupBy("event_type", "user_id").agg(pairs.alias("cells"))
+    return files.cells(rows, "cells").select("event_type", "user_id", F.explode("cells").alias("k", "v"))
 
 
 @query("select doc_id, case lang when 'en' then 'en' else lang end iso, lang <> 'en' needs from documents")
@@ -427,3 +427,6 @@ def events_tumbling(spark, d):
 def pricing_summary(spark, d):
     t = table(spark, d, "lineitem").where("l_shipdate <= timestamp'1998-09-02'")
     return t.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.sum("l_extendedprice").alias("sum_base"), F.sum(c("l_extendedprice") * (1 - c("l_discount"))).alias("sum_disc"), F.avg("l_quantity").alias("avg_qty"), F.count("*").alias("n"))
+
+
+from tesserae.plans import corpus  # noqa: E402, F401  registers its queries

@@ -29,6 +29,25 @@ VIEWS = {
         n_name as country, 1990 + cast(c_custkey % 9 as int) as year, case c_custkey % 3 when 0 then 'President' when 1 then 'Prime Minister' else '' end as position
         from customer join nation on n_nationkey = c_nationkey""",
     "v_events": "select event_type as source_id, event_id as ord, value > 50 as failed, value > 90 as throttled, event_id % 10 = 3 as filtered from events where value is not null",
+    "v_dups": """select concat('s', cast(doc_id % 3 as string)) as source_id, 'XYZ' as country, doc_id as ord, cast(doc_id as string) as doc_id, lang as title, case when j % 2 = 0 then concat('2015010', cast(j as string)) else '' end as capture,
+        case when t = 3 and j = 0 then ' ' else concat(case when j % 2 = 1 then '  ' else '' end, body) end as text, case when t = 3 and j = 0 then upper(body) else '' end as text_originlanguage,
+        case t when 0 then concat('https://a.example/stub/', cast(c as string)) when 1 then concat(case j % 3 when 0 then 'https://www.a.example/x/' when 1 then 'http://a.example:80/x/' else 'https://A.example/x/' end, cast(c as string), case j % 3 when 0 then '/' when 1 then '?q=1' else '' end)
+          when 2 then concat('https://h', cast(j as string), '.example/same/', cast(c as string)) when 3 then concat('https://a.example/news/', cast(1000 + c as string), '/slug', cast(j as string))
+          when 4 then concat('https://a.example/talks/peace', cast(c as string), 'x-', cast(j as string)) else concat('https://a.example/p', cast(j as string), '/item', cast(c as string), 'y', cast(j as string)) end as url
+        from (select *, case c % 6 when 0 then concat('Page not found in cluster ', cast(c as string)) else repeat(concat('Words of cluster ', cast(c as string), ' go on. '), 20) end as body, c % 6 as t
+          from (select *, cast(floor(doc_id / 18) as bigint) as c, cast(floor(doc_id / 3) as bigint) % 6 as j from documents ) a) b""",
+    "v_lists": """select concat('src', cast(page_id % 12 as string)) as source_id, concat('f', cast(page_id % 12 as string), '_', cast(k as string)) as file, case when page_id % 12 = 5 then 'probe' when k = 0 then 'run' else 'probe' end as kind,
+        case when k = 1 and page_id % 2 = 0 then concat('http://www.', substring(url, 9)) else url end as url, case when page_id % 12 = 3 then cast(null as string) else '/(en|de)/' end as pattern,
+        page_id % 12 = 1 and k = 0 as stopped_early, page_id % 12 = 2 as capped, page_id % 12 = 4 and k = 1 as page1_only
+        from pages cross join (select 0 as k union all select 1 union all select 2) kk where page_id % (k * 2 + 1) = 0 and url like 'https://%'""",
+    "v_clean": """select d.doc_id as ord, cast(d.doc_id as string) as doc_id, k.n_name as country, concat(case d.doc_id % 5 when 0 then 'Jose' when 1 then 'ANNA' when 2 then 'Zoe' when 3 then 'Maria' else 'Peter' end, ' ',
+        case d.doc_id % 7 when 0 then 'Nunez' when 1 then 'weber' when 2 then 'Okafor' when 3 then 'Sund' when 4 then 'haddad' when 5 then 'Novak' else 'Stone' end) as speaker,
+        case d.doc_id % 5 when 0 then 'Speech' when 1 then 'interview' when 2 then 'official_statement' when 3 then 'other' else '' end as document_type,
+        case d.doc_id % 6 when 0 then 'head_of_state' when 1 then 'foreign_visitor' when 2 then 'other_minister' when 3 then 'unknown' when 4 then 'both' else 'other' end as speaker_type,
+        case d.doc_id % 2 when 0 then 'yes' else 'no' end as is_first_person, case d.doc_id % 4 when 0 then 'no' else 'yes' end as is_substantive, concat(cast(1990 + d.doc_id % 9 as string), '-03-04') as date,
+        case d.doc_id % 11 when 0 then 'error_call' when 1 then 'accepted' else 'rejected_foreign' end as clean_status, 'as it was' as gate_reason, 'none' as tenure_match, cast(null as string) as tenure_matched_name,
+        cast(null as boolean) as is_ceremonial, false as speaker_review, cast(null as string) as inclusion_tier
+        from documents d join nation k on k.n_nationkey = d.doc_id % 25""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
