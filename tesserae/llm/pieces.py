@@ -29,7 +29,7 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import accumulate, chain, count
 
@@ -361,34 +361,34 @@ def parts(text: pa.Array, rows: int = 500, chars: int = 4 << 20) -> Iterator[lis
         yield out
 
 
-def encoded(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
-    """``docs`` with ``pieces`` (ids), ``scores`` of the N best, ``nbest`` (their ids), ``agrees`` and ``decoded``; those names are replaced.
+def encoded(docs: DataFrame, n: int = 4, path: str | None = None, wanted: Sequence[str] = ("pieces", "scores", "nbest", "agrees", "decoded")) -> DataFrame:
+    """``docs`` with what is ``wanted`` of ``pieces`` (ids), ``scores`` of the N best, ``nbest`` (their ids), ``agrees`` and ``decoded``.
 
-    Only the text goes to Python, and the rest of a row waits for its result.
+    Columns of those names are replaced.  Rows leave Python in small batches,
+    as ids take several times the room of their text.
     """
-    docs = docs.drop("pieces", "scores", "nbest", "agrees", "decoded")
+    kinds = {"pieces": "array<int>", "scores": "array<double>", "nbest": "array<array<int>>", "agrees": "boolean", "decoded": "string"}
+    docs = docs.drop(*kinds)
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
-    @F.arrow_udf("struct<pieces:array<int>,scores:array<double>,nbest:array<array<int>>,agrees:boolean,decoded:string>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(data.value, n)
-        for text in without_cycles(batches):
-            own, scores, sizes, nbest, agrees, decoded = [], [], [0], [], [], []
-            for some in parts(text):
-                for ids, best in model.encode(some):
-                    own.append(ids)
-                    scores.append([s for s, _ in best])
-                    nbest += [x for _, x in best]
-                    sizes.append(len(nbest))
-                    agrees.append(ids == best[0][1])
-                    decoded.append(model.decode(ids))
-            every = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), arrays(nbest))
-            yield pa.StructArray.from_arrays(
-                [arrays(own), pa.array(scores, pa.list_(pa.float64())), every, pa.array(agrees, pa.bool_()), pa.array(decoded, pa.string())],
-                ["pieces", "scores", "nbest", "agrees", "decoded"],
-            )
-
-    return docs.withColumn("_e", run("text")).select(*docs.columns, "_e.*")
+        for batch in without_cycles(batches):
+            at = 0
+            for some in parts(batch.column("text"), 200, 1 << 20):
+                own, best = zip(*model.encode(some), strict=True)
+                sizes = pa.array(np.cumsum([0, *map(len, best)]), pa.int32())
+                made = {
+                    "pieces": lambda: arrays(own), "scores": lambda: pa.array([[x for x, _ in b] for b in best], pa.list_(pa.float64())),  # noqa: B023
+                    "nbest": lambda: pa.ListArray.from_arrays(sizes, arrays([ids for b in best for _, ids in b])),  # noqa: B023
+                    "agrees": lambda: pa.array([x == b[0][1] for x, b in zip(own, best, strict=True)]), "decoded": lambda: pa.array([model.decode(x) for x in own], pa.string()),  # noqa: B023
+                }
+                part = batch.slice(at, len(some))
+                at += len(some)
+                yield pa.RecordBatch.from_arrays([*part.columns, *[made[c]() for c in wanted]], [*part.schema.names, *wanted])
+
+    given = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    return docs.mapInArrow(run, ", ".join([*given, *[f"{c} {kinds[c]}" for c in wanted]]))
 
 
 def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:

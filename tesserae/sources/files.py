@@ -103,7 +103,7 @@ def link_lists(spark: SparkSession, path: str) -> DataFrame:
 
 def sidecars(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON side files; one that can't be read is a row of nulls."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("meta"))
 
 

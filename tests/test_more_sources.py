@@ -159,3 +159,10 @@ def test_audit_columns_do_not_clash(spark):
 def test_provenance(spark):
     got = spark.range(1).select(records.provenance([("a", F.lit(" ")), ("b", F.lit("v")), ("c", F.lit("w"))]).alias("p"), records.provenance([("a", F.lit(None).cast("string"))]).alias("q")).first()
     assert tuple(got.p) == ("v", "b") and got.q is None
+
+
+def test_sidecars(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n  "capped": true,\n  "pages": 3\n}')
+    (tmp_path / "b.json").write_text('{\n broken')
+    got = {r.file.rsplit("/", 1)[-1]: r.meta for r in files.sidecars(spark, str(tmp_path), "capped boolean, pages int").collect()}
+    assert len(got) == 2 and (got["a.json"].capped, got["a.json"].pages) == (True, 3) and got["b.json"].capped is None
