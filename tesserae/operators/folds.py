@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from tesserae.operators.ranks import placed
 
 
 def breaker(events: DataFrame, limit: int, key: str = "source_id", neutral: str | None = None) -> DataFrame:
@@ -14,12 +15,12 @@ def breaker(events: DataFrame, limit: int, key: str = "source_id", neutral: str
     neither count nor end a run.
     """
     rows = events.where(f"not ({neutral})") if neutral else events
-    run = Window.partitionBy(key).orderBy("ord")
-    rows = rows.withColumn("_run", F.sum(F.when(F.col("failed"), 0).otherwise(1)).over(run))
-    nth = F.row_number().over(Window.partitionBy(key, "_run").orderBy("ord"))
-    failures = rows.where("failed").withColumn("_nth", nth)
-    tripped = failures.where(F.col("_nth") == limit).groupBy(key).agg(F.min("ord").alias("tripped_at"))
-    longest = failures.groupBy(key).agg(F.max("_nth").cast("long").alias("longest_run"))
+    failures = placed(placed(rows.select(key, "ord", "failed"), [key]).where("failed"), [key], name="_m")
+    failures = failures.withColumn("_run", F.col("_n") - F.col("_m"))  # the same for failures in a row
+    runs = failures.groupBy(key, "_run").agg(F.count("*").alias("_size"), F.min("_m").alias("_first"))
+    longest = runs.groupBy(key).agg(F.max("_size").cast("long").alias("longest_run"))
+    at = runs.where(F.col("_size") >= limit).groupBy(key).agg((F.min("_first") + limit - 1).alias("_m"))
+    tripped = failures.join(at, [key, "_m"]).select(key, F.col("ord").alias("tripped_at"))
     return events.select(key).distinct().join(longest, key, "left").join(tripped, key, "left").select(key, F.coalesce("longest_run", F.lit(0)).alias("longest_run"), "tripped_at")
 
 
@@ -27,19 +28,25 @@ def paced(events: DataFrame, base: float, ceiling: float, key: str = "source_id"
     """By key: the delay in force after all its fetches (``ord``, ``throttled``), and how many were throttled.
 
     A throttled fetch adds ``up``; ``after`` clean ones in a row take ``down``.
+    Every throttled fetch starts a new run of clean ones, so the fold needs
+    their lengths alone, and a run's easing is one step.
     """
-    start = F.struct(F.lit(float(base)).alias("value"), F.lit(0).alias("clean"), F.lit(0).alias("hits"))
-
-    def step(s: Column, x: Column) -> Column:
-        slower = F.round(F.least(F.lit(float(ceiling)), s["value"] + up), 2)
-        ease = (s["clean"] + 1 >= after) & (s["value"] > base)
-        eased = F.struct(F.round(F.greatest(F.lit(float(base)), s["value"] - down), 2).alias("value"), F.lit(0).alias("clean"), s["hits"].alias("hits"))
-        clean = F.struct(s["value"].alias("value"), (s["clean"] + 1).alias("clean"), s["hits"].alias("hits"))
-        hit = F.struct(F.when(s["value"] < ceiling, slower).otherwise(s["value"]).alias("value"), F.lit(0).alias("clean"), (s["hits"] + 1).alias("hits"))
-        return F.when(x["throttled"], hit).when(ease, eased).otherwise(clean)
-
-    listed = F.array_sort(F.collect_list(F.struct("ord", "throttled")))
-    return events.groupBy(key).agg(F.aggregate(listed, start, step).alias("s")).select(key, F.col("s.value").alias("delay"), F.col("s.hits").cast("long").alias("throttle_events"))
+    rows = placed(events.select(key, "ord", "throttled"), [key])
+    total = rows.groupBy(key).agg(F.count("*").alias("_total"))
+    hits = rows.where("throttled").groupBy(key).agg(F.array_sort(F.collect_list("_n")).alias("_hits"))
+    both = total.join(hits, key, "left").withColumn("_hits", F.coalesce("_hits", F.array().cast("array<long>")))
+
+    def eased(value: Column, clean: Column) -> Column:
+        steps = F.least(F.floor(clean / after), F.ceil((value - base) / down))
+        return F.when(value > base, F.round(F.greatest(F.lit(float(base)), value - down * steps), 2)).otherwise(value)
+
+    def step(s: Column, at: Column) -> Column:
+        value = eased(s["value"], at - s["at"] - 1)
+        return F.struct(F.when(value < ceiling, F.round(F.least(F.lit(float(ceiling)), value + up), 2)).otherwise(value).alias("value"), at.alias("at"))
+
+    start = F.struct(F.lit(float(base)).alias("value"), F.lit(0).cast("long").alias("at"))
+    end = both.withColumn("_s", F.aggregate("_hits", start, step))
+    return end.select(key, eased(F.col("_s.value"), F.col("_total") - F.col("_s.at")).alias("delay"), F.size("_hits").cast("long").alias("throttle_events"))
 
 
 def backoff(attempt: Column, first: float, most: float = 60.0) -> Column:

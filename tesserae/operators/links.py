@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from tesserae.functions import dates as D
 from tesserae.functions import text as T
 from tesserae.functions import urls as U
+from tesserae.operators.ranks import placed
 
 
 def first_of(rows: DataFrame, *key: str) -> DataFrame:
@@ -55,7 +56,7 @@ def evenly(rows: DataFrame, k: int) -> DataFrame:
     n = rows.count()
     at = range(n) if k >= n else [0] if k == 1 else sorted({round(i * (n - 1) / (k - 1)) for i in range(k)})
     ids = rows.sparkSession.createDataFrame([(i + 1,) for i in at], "_n long")
-    return rows.withColumn("_n", F.row_number().over(Window.orderBy("ord"))).join(F.broadcast(ids), "_n", "left_semi").drop("_n")
+    return placed(rows).join(F.broadcast(ids), "_n", "left_semi").drop("_n")
 
 
 def seeded_sample(rows: DataFrame, n: int, seed: int, key: str = "doc_id") -> DataFrame:
@@ -64,8 +65,9 @@ def seeded_sample(rows: DataFrame, n: int, seed: int, key: str = "doc_id") -> Da
 
 def numbered(rows: DataFrame, last: DataFrame) -> DataFrame:
     """``rows`` (country, iso3, ord) with doc_ids that continue each country's counter (``last``: country, last_num)."""
-    n = F.coalesce("last_num", F.lit(0)) + F.row_number().over(Window.partitionBy("country").orderBy("ord"))
-    return rows.join(last, "country", "left").withColumn("doc_num", n).withColumn("doc_id", T.document_id(F.col("iso3"), F.col("doc_num"))).drop("last_num")
+    n = F.coalesce("last_num", F.lit(0)) + F.col("_n")
+    numbers = placed(rows, ["country"]).join(last, "country", "left").withColumn("doc_num", n)
+    return numbers.withColumn("doc_id", T.document_id(F.col("iso3"), F.col("doc_num"))).drop("last_num", "_n")
 
 
 def universe(listed: DataFrame) -> DataFrame:
@@ -87,13 +89,6 @@ def source_index(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_links(index: DataFrame, links: DataFrame) -> DataFrame:
-    """The index beside ``links`` (source_id, n_links): unknown isn't zero, and a share may pass 100."""
-    share = F.round(100 * F.col("n_docs") / F.when(F.col("n_links") > 0, F.col("n_links")), 1)
-    status = F.when(F.col("n_links").isNull(), "no_list").when(F.col("n_links") == 0, "empty_list").when(F.col("n_docs") < 0.5 * F.col("n_links"), "behind").otherwise("ok")
-    return index.join(links, "source_id", "left").withColumn("percent_scraped", share).withColumn("link_status", status)
-
-
 def never_scraped(listed: DataFrame, rows: DataFrame) -> DataFrame:
     return listed.select("source_id").distinct().join(rows.select("source_id").distinct(), "source_id", "left_anti")
 

@@ -40,6 +40,21 @@ def loose(a: Column, b: Column) -> Column:
     return strong(a, b) | ((a != "") & (b != "") & F.arrays_overlap(long(a), long(b)))
 
 
+def grams(c: Column) -> Column:
+    """All distinct pieces of a name of up to three characters."""
+    n = F.length(c)
+    return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(k) for k in (1, 2, 3)]), lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, k))).otherwise(F.array().cast("array<string>")))))
+
+
+def within(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs of rows whose names ``a`` and ``b`` are ``strong``: joined on the beginning of the one that must be a piece of the other."""
+    head = lambda c: F.substring(c, 1, 3).alias("_g")
+    left, right = left.where(F.col(a) != ""), right.where(F.col(b) != "")
+    ab = left.select("*", F.explode(grams(F.col(a))).alias("_g")).join(right.select("*", head(b)), "_g").where(F.contains(F.col(a), F.col(b)))
+    ba = left.select("*", head(a)).join(right.select("*", F.explode(grams(F.col(b))).alias("_g")), "_g").where(F.contains(F.col(b), F.col(a)) & (F.col(a) != F.col(b)))
+    return ab.unionByName(ba).drop("_g")
+
+
 def bounded(key: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast the table if it is as small as such tables are, and leave the join to Spark if not."""
     return F.broadcast(key) if key.limit(limit + 1).count() <= limit else key
@@ -65,7 +80,8 @@ def match(rows: DataFrame, key: DataFrame, window: int = 1) -> DataFrame:
     # names, not years, decide abroad: the first row of each (name, country) is enough
     abroad = key.groupBy("k_country", "k_norm").agg(F.min_by(F.struct("ord", "matched_name", "k_ceremonial"), "ord").alias("k")).select("k_country", "k_norm", "k.*")
     places = missed.select("speaker", "s_norm", "country").distinct()
-    away = places.join(bounded(abroad), strong(F.col("s_norm"), F.col("k_norm")) & (blank(F.col("country")) | (F.col("country") != F.col("k_country")))).groupBy("speaker", "country").agg(first("other_country"))
+    elsewhere = blank(F.col("country")) | (F.col("country") != F.col("k_country"))
+    away = within(places, abroad, "s_norm", "k_norm").where(elsewhere).groupBy("speaker", "country").agg(first("other_country"))
     away = missed.select(*ids).join(away.select(F.col("speaker").alias("a_speaker"), F.col("country").alias("a_country"), "hit"), same("speaker", "a_speaker") & same("country", "a_country")).select(*ids, "hit")
     hits = home.unionByName(away).select(*[F.col(c).alias(f"q_{c}") for c in ids], "hit")
     out = rows.join(hits, same("speaker", "q_speaker") & same("country", "q_country") & same("year", "q_year"), "left")
