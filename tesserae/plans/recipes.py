@@ -19,7 +19,7 @@ from tesserae.functions import text as T
 from tesserae.functions import urls as U
 from tesserae.operators import html as H
 
-# Settings and their defaults, by part of a recipe.
+# Settings and their defaults, by part of a recipe (the name of the dataset is our own).
 FIELD = {"selectors": [], "attr": None, "regex": None, "regex_required": False, "url_regex": None}
 ARCHIVE = {"wayback_from": None, "wayback_to": None, "wayback_limit": None, "wayback_match_type": "prefix", "wayback_collapse": "urlkey", "wayback_delay": 5.0, "wayback_filter": None}
 KNOBS = {
@@ -37,7 +37,7 @@ KNOBS = {
     "wayback_extend": {"enabled": True, "prefix": None, "link_pattern": None, "title": None, "text": None, "date": None, "speaker": None, "context": None, **ARCHIVE},
     "politeness": {"delay_range": [0.0, 0.0], "pause_every": 50, "pause_seconds": 5.0, "retries": 3, "backoff": 5.0},
     "recipe": {
-        "source_id": None, "country": None, "iso3n": None, "source_language": "English", "dataset": "LeaderSpeech", "start_urls": None, "renderer": "static", "content_type": "auto", "verify_ssl": True,
+        "source_id": None, "country": None, "iso3n": None, "source_language": "English", "dataset": "corpus", "start_urls": None, "renderer": "static", "content_type": "auto", "verify_ssl": True,
         "user_agent": None, "encoding": None, "block_page": True, "block_page_patterns": [], "js_settle": 0.0, "js_context_recycle": 0, "cdp_endpoint": None, "listing": None, "keep_if": None, "pagination": {},
         "wayback_extend": None, "title": None, "text": None, "date": None, "speaker": None, "context": None, "pdf_link": None, "pdf_ocr": False, "pdf_ocr_language": "eng", "position": None,
         "speaker_default": None, "date_languages": [], "politeness": {}, "notes": None,

@@ -24,7 +24,7 @@ wayback_extend: true
 def test_defaults():
     r = recipes.load(GOOD)
     assert r["pagination"]["step"] == 40 and r["pagination"]["wayback_delay"] == 5.0 and r["politeness"]["retries"] == 3
-    assert r["wayback_extend"]["enabled"] and r["title"]["regex_required"] is False and r["dataset"] == "LeaderSpeech"
+    assert r["wayback_extend"]["enabled"] and r["title"]["regex_required"] is False and r["dataset"] == "corpus"
     assert recipes.load(GOOD.replace("wayback_extend: true", "wayback_extend: false"))["wayback_extend"] is None
 
 
