@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
@@ -83,6 +85,43 @@ def without_cycles(batches: Iterable[T]) -> Iterator[T]:
         give_back()
 
 
+class Kept:
+    """One value for all tasks of a Python worker, such as a model and what it has cached; let go when no task has used it for a while.
+
+    Workers are reused and would hold it through all later stages of a job.
+    """
+
+    def __init__(self, make: Callable, idle_seconds: float = 4.0):
+        self.make, self.idle, self.lock = make, idle_seconds, threading.Lock()
+        self.key = self.value = self.timer = None
+        self.users = 0
+
+    @contextlib.contextmanager
+    def use(self, *key):
+        with self.lock:
+            if self.timer:
+                self.timer.cancel()
+            if self.value is None or self.key != key:
+                self.key, self.value = key, self.make(*key)
+            self.users += 1
+            value = self.value
+        try:
+            yield value
+        finally:
+            with self.lock:
+                self.users -= 1
+                self.timer = threading.Timer(self.idle, self.let_go)
+                self.timer.daemon = True
+                self.timer.start()
+
+    def let_go(self) -> None:
+        with self.lock:
+            if self.users:
+                return
+            self.key = self.value = None
+        give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system: reused Python workers would hold it for the rest of the job."""
     gc.collect()

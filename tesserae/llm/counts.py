@@ -22,7 +22,6 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import without_cycles
+from tesserae.llm.common import Kept, without_cycles
 
 LIMIT = 2048
 END = "</w>"
@@ -214,10 +213,12 @@ class Counter:
         return np.concatenate([*parts, self.plain(text[at:]) + base])
 
 
-@lru_cache(1)
-def counter(data: str) -> Counter:
-    """One for all tasks of a worker, as the words that it has met serve them all."""
-    return Counter(data)
+KEPT = Kept(Counter)
+
+
+def kept_counter() -> Kept:
+    """One counter for all tasks of a worker, as the words that it has met serve them all."""
+    return KEPT
 
 
 def longest_prefix(table: np.ndarray, budget: int) -> int:
@@ -246,14 +247,14 @@ def counted(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -> Dat
     data = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = counter(data.value)
-        for batch in without_cycles(batches):
-            n, fits = [], []
-            for text in batch.column("text"):
-                table = own.table(text.as_py())
-                n.append(int(table[-1]))
-                fits.append(longest_prefix(table, limit))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64()), pa.array(fits, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "fits"])
+        with kept_counter().use(data.value) as own:
+            for batch in without_cycles(batches):
+                n, fits = [], []
+                for text in batch.column("text"):
+                    table = own.table(text.as_py())
+                    n.append(int(table[-1]))
+                    fits.append(longest_prefix(table, limit))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64()), pa.array(fits, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "fits"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
     out = rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fits long")
@@ -266,10 +267,10 @@ def tables(docs: DataFrame, path: str | None = None) -> DataFrame:
     data = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = counter(data.value)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 200)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([own.table(x.as_py()) for x in part.column("text")], pa.list_(pa.int64()))], [*part.schema.names, "prefix_tokens"])
+        with kept_counter().use(data.value) as own:
+            for batch in without_cycles(batches):
+                for k in range(0, batch.num_rows, 200):
+                    part = batch.slice(k, 200)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array([own.table(x.as_py()) for x in part.column("text")], pa.list_(pa.int64()))], [*part.schema.names, "prefix_tokens"])
 
     return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", prefix_tokens array<long>")

@@ -30,7 +30,6 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 from itertools import accumulate, chain, count
 
 import ahocorasick
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import without_cycles
+from tesserae.llm.common import Kept, without_cycles
 
 MARK, UNKNOWN = "▁", 10.0
 #: A field that, after a model's own, turns off the mark in front of a text.
@@ -74,7 +73,7 @@ def fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Model:
     """Pieces and scores of a model file, and N-best search over them."""
 
-    def __init__(self, data: bytes, n: int = 4, cache_bytes: int = 150 << 20):
+    def __init__(self, data: bytes, n: int = 4, cache_bytes: int = 120 << 20):
         from sentencepiece import SentencePieceProcessor
 
         self.n, self.room, self.used, self.known, self.before, self.single, self.others = n, cache_bytes, 0, {}, {}, {}, {}
@@ -326,10 +325,12 @@ class Model:
         return text[1:] if text[:1] == " " else text
 
 
-@lru_cache(1)
-def model_of(data: bytes, n: int) -> Model:
-    """One for all tasks of a worker, as the segments that it has met serve them all."""
-    return Model(data, n)
+KEPT = Kept(Model)
+
+
+def kept_model() -> Kept:
+    """One model for all tasks of a worker, as the segments that it has met serve them all."""
+    return KEPT
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -372,8 +373,11 @@ def encoded(docs: DataFrame, n: int = 4, path: str | None = None, wanted: Sequen
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(data.value, n)
-        for batch in without_cycles(batches):
+        with kept_model().use(data.value, n) as model:
+            yield from ready(model, without_cycles(batches))
+
+    def ready(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             at = 0
             for some in parts(batch.column("text"), 200, 1 << 20):
                 own, best = zip(*model.encode(some), strict=True)
@@ -397,9 +401,12 @@ def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
 
     @F.arrow_udf("struct<n_pieces:long,pieces_sha256:string,nbest_sha256:string,scores:array<double>,agrees:boolean,round_trip:boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = model_of(data.value, n)
+        with kept_model().use(data.value, n) as model:
+            yield from digests(model, without_cycles(batches))
+
+    def digests(model: Model, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kinds = {"n_pieces": pa.int64(), "pieces_sha256": pa.string(), "nbest_sha256": pa.string(), "scores": pa.list_(pa.float64()), "agrees": pa.bool_(), "round_trip": pa.bool_()}
-        for text in without_cycles(batches):
+        for text in batches:
             rows = []
             for some in parts(text):
                 for value, (ids, best) in zip(some, model.encode(some), strict=True):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import without_cycles
+from tesserae.llm.common import give_back, without_cycles
 
 WINDOW, TRAIN_STRIDE = 12, 6
 PART, OVERLAP = 24, 12
@@ -408,6 +408,8 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
         for text in without_cycles(batches):
             got = [scorer.scores([x.as_py() for x in text[at : at + 500]]) for at in range(0, len(text), 500)]
             yield pa.array(np.concatenate([np.empty(0), *got]), pa.float64())
+        del own, scorer
+        give_back()
 
     return docs.withColumn("score", run("text"))
 
