@@ -56,13 +56,13 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode: the documents with their pieces, and the N best segmentations with their scores.
+    """Encode: the documents with their pieces and the scores of the N best segmentations.
 
     A null or empty text has no pieces; repeated rows get equal ones.
     """
     from tesserae.llm.pieces import encoded
 
-    return encoded(docs).select(*COLUMNS, "pieces", "nbest", "scores")
+    return encoded(docs.select(COLUMNS), wanted=["pieces", "scores"])
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pii", pii), ("sentencepiece", sentencepiece)]
