@@ -51,5 +51,31 @@ from base
 """
 
 
+OP5 = r"""
+with p as (select page_id, strlen(coalesce(html, '')) n, sha1(coalesce(html, '')) h from pages),
+top as (select h, max(page_id) first_id from p group by h),
+-- five hex digits are four letters of base32
+d as (select page_id, n, h, list_transform(range(8), lambda i: list_sum(list_transform(range(5), lambda j: (strpos('0123456789abcdef', h[5 * i + j + 1]) - 1) * (16 ** (4 - j))))::bigint) v from p)
+select page_id, n::bigint payload_bytes, array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda k: ('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')[((x >> k) & 31) + 1]), '')), '') payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end record_type, case when page_id <> first_id then first_id end refers_to
+from d join top using (h)
+"""
+
+OP9 = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h, strlen(coalesce(text, '')) n from documents),
+-- strings of fifty bytes, taken from blocks of 500 places as slices of long texts are slow
+blocks as (select doc_id, b, h[1000 * b + 1 : 1000 * b + 1098] t, least(500, n - 49 - 500 * b) c from (select *, unnest(range((n + 450) // 500)) b from d where n >= 50)),
+pos as (select doc_id, 500 * b + j i, t[2 * j + 1 : 2 * j + 100] s from (select *, unnest(range(c)) j from blocks)),
+first as (select s, min(doc_id) m from pos group by s),
+hit as (select doc_id, i, lag(i) over (partition by doc_id order by i) before from pos join first using (s) where m < doc_id),
+runs as (select doc_id, i, sum(case when before is null or i > before + 50 then 1 else 0 end) over (partition by doc_id order by i) r from hit),
+cut as (select doc_id, r, min(i) a, max(i) + 50 b from runs group by all),
+gaps as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) z, lead(a) over (partition by doc_id order by a) y from cut),
+kept as (select doc_id, sum(b - a)::bigint n_removed, count(*) n_spans, string_agg(h[2 * z + 1 : 2 * a], '' order by a) || any_value(h[2 * m + 1 :]) k
+  from (select gaps.*, d.h, max(b) over (partition by gaps.doc_id) m from gaps join d on d.doc_id = gaps.doc_id) group by doc_id)
+select d.doc_id, n::bigint n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(k, h))) kept_sha256 from d left join kept on kept.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op4_quality": OP4}
+    return {"op3_decontaminate": OP3, "op4_quality": OP4, "op5_warc": OP5, "op9_substrings": OP9}
