@@ -39,6 +39,18 @@ def resume(rows: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.join(done.select(key), key, "left_anti")
 
 
+def selected(rows: DataFrame, ids: Sequence[str], key: str = "doc_id") -> DataFrame:
+    """The rows that are asked for by name."""
+    return rows.where(F.col(key).isin(list(ids)))
+
+
+def with_carried(links: DataFrame, meta: DataFrame) -> DataFrame:
+    """``links`` (url) with what a listing, an API or a feed told of each: ``meta`` (url, ord and further columns), the first row of a URL counting."""
+    names = [c for c in meta.columns if c not in ("url", "ord")]
+    first = meta.groupBy("url").agg(F.min_by(F.struct(*names), "ord").alias("_m"))
+    return links.join(first, "url", "left").select(*links.columns, *[F.col(f"_m.{n}").alias(n) for n in names])
+
+
 def matching(links: DataFrame, pattern: str) -> DataFrame:
     return links.where(F.col("url").rlike(pattern.replace("(?P<", "(?<")))
 

@@ -247,6 +247,20 @@ def never_scraped(spark, d):
     return links.never_scraped(listed, table(spark, d, "documents").select(c("source").alias("source_id")))
 
 
+@query("""select page_id, url, case when page_id % 3 = 0 then 'T' || page_id end title, case when page_id % 3 = 0 then page_id % 2 = 0 end dated from pages""")
+def carried_metadata(spark, d):
+    pages = table(spark, d, "pages").select("page_id", s("concat('u', cast(page_id as string))").alias("key"), "url")
+    told = pages.where("page_id % 3 = 0").select(c("key").alias("url"), F.explode(F.array(F.lit(0), F.lit(1))).alias("ord"), "page_id")
+    meta = told.select("url", "ord", s("case ord when 0 then concat('T', cast(page_id as string)) else 'later' end").alias("title"), (c("page_id") % 2 == 0).alias("dated"))
+    got = links.with_carried(pages.select("page_id", c("key").alias("url"), c("url").alias("address")), meta)
+    return got.select("page_id", c("address").alias("url"), "title", "dated")
+
+
+@query("select doc_id, lang from documents where doc_id in (3, 14, 15, 92)")
+def chosen_documents(spark, d):
+    return links.selected(table(spark, d, "documents").select("doc_id", "lang"), [3, 14, 15, 92])
+
+
 # archive and pages
 
 CAPTURES = "select page_id ord, 'k' || (page_id % 40) urlkey, ((20100101000000 + (page_id % 9) * 10000000000) + page_id)::varchar \"timestamp\", url original, case page_id % 3 when 0 then 'application/pdf' else 'text/html' end mimetype, case page_id % 4 when 0 then '404' else '200' end statuscode, 'd' || (page_id % 6) digest from pages"

@@ -48,6 +48,24 @@ def guarded(rows: DataFrame, limit: int) -> DataFrame:
     return rows.groupBy("source_id").applyInPandasWithState(watch, "source_id string, run long, tripped boolean", "run long, tripped boolean", "update", GroupStateTimeout.NoTimeout)
 
 
+def paced(rows: DataFrame, base: float, ceiling: float, up: float = 1.5, down: float = 0.5, after: int = 20) -> DataFrame:
+    """``rows`` (source_id, ord, throttled): by source the delay now in force; a throttled fetch adds ``up``, ``after`` clean ones in a row take ``down``."""
+
+    def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        delay, clean = state.get if state.exists else (base, 0)
+        for batch in batches:
+            for throttled in batch.sort_values("ord")["throttled"]:
+                clean += 1
+                if throttled:
+                    delay, clean = round(min(ceiling, delay + up), 2) if delay < ceiling else delay, 0
+                elif clean >= after and delay > base:
+                    delay, clean = round(max(base, delay - down), 2), 0
+        state.update((delay, clean))
+        yield pd.DataFrame({"source_id": [key[0]], "delay": [delay]})
+
+    return rows.groupBy("source_id").applyInPandasWithState(watch, "source_id string, delay double", "delay double, clean long", "update", GroupStateTimeout.NoTimeout)
+
+
 def windowed(events: DataFrame, size: str = "1 hour", late: str = "2 hours") -> DataFrame:
     return events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 

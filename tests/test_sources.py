@@ -99,3 +99,16 @@ def test_streams(spark, tmp_path):
     events = spark.readStream.schema("source_id string, ord long, failed boolean").json(f"file://{tmp_path}/ev")
     runs.guarded(events, 3).writeStream.format("memory").queryName("guard").outputMode("update").option("checkpointLocation", f"file://{tmp_path}/c3").trigger(availableNow=True).start().awaitTermination()
     assert [(r.run, r.tripped) for r in spark.table("guard").collect()] == [(3, True)]
+
+
+def test_streaming_pacer(spark, tmp_path):
+    (tmp_path / "ev").mkdir()
+    write = lambda n, marks: (tmp_path / "ev" / f"{n}.json").write_text("".join(f'{{"source_id": "s", "ord": {100 * n + k}, "throttled": {str(m).lower()}}}\n' for k, m in enumerate(marks)))
+    events = spark.readStream.schema("source_id string, ord long, throttled boolean").json(f"file://{tmp_path}/ev")
+    seen = []
+    for n, marks in enumerate([[True, True], [False] * 15, [False] * 10, [True] * 9]):
+        write(n, marks)
+        out = runs.paced(events, 2.0, 6.0).writeStream.format("memory").queryName(f"pace{n}").outputMode("update").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
+        out.awaitTermination()
+        seen += [r.delay for r in spark.table(f"pace{n}").collect()]
+    assert seen == [5.0, 5.0, 4.5, 6.0]  # the run of clean fetches goes on from batch to batch
