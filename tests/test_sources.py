@@ -108,7 +108,6 @@ def test_streaming_pacer(spark, tmp_path):
     seen = []
     for n, marks in enumerate([[True, True], [False] * 15, [False] * 10, [True] * 9]):
         write(n, marks)
-        out = runs.paced(events, 2.0, 6.0).writeStream.format("memory").queryName(f"pace{n}").outputMode("update").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
-        out.awaitTermination()
-        seen += [r.delay for r in spark.table(f"pace{n}").collect()]
+        each = lambda batch, _: seen.extend(r.delay for r in batch.collect())
+        runs.paced(events, 2.0, 6.0).writeStream.foreachBatch(each).outputMode("update").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert seen == [5.0, 5.0, 4.5, 6.0]  # the run of clean fetches goes on from batch to batch
