@@ -77,5 +77,39 @@ select d.doc_id, n::bigint n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n
 """
 
 
+EMAIL, IP, CARD, PHONE = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", r"[0-9](?:[\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def matches(kind: int, pattern: str, fits: str) -> str:
+    """Matches of a pattern with their places: what lies between them is as long as it is."""
+    return f"""select doc_id, {kind} kind, m, s from (select doc_id, m, sum(length(g)) over w + coalesce(sum(length(m)) over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) s
+  from (select doc_id, unnest(regexp_extract_all(t, '{pattern}')) m, unnest(string_split_regex(t, '{pattern}')[1:len(regexp_extract_all(t, '{pattern}'))]) g, unnest(range(len(regexp_extract_all(t, '{pattern}')))) k from docs) window w as (partition by doc_id order by k)) where {fits}"""
+
+
+WORD = r"[\p{L}\p{N}]+"
+DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+LUHN = f"list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda i: case when i % 2 = 1 then reverse({DIGITS})[i]::int when reverse({DIGITS})[i]::int < 5 then 2 * reverse({DIGITS})[i]::int else 2 * reverse({DIGITS})[i]::int - 9 end)) % 10 = 0"
+OP7 = f"""
+with docs as (select doc_id, coalesce(text, '') t from documents),
+base as ({matches(0, EMAIL, "true")} union all {matches(1, IP, "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 or coalesce(try_cast(x as int), 999) > 255)) = 0")}
+  union all {matches(2, CARD, f"length({DIGITS}) between 13 and 19 and {LUHN}")} union all {matches(3, PHONE, f"length({DIGITS}) between 9 and 15")}),
+spans as (select doc_id, kind, s::bigint s, (s + length(m))::bigint e, m, ['email', 'ip', 'card', 'phone'][kind + 1] name from base),
+words as (select doc_id, lower(m) term, s::bigint s, (s + length(m))::bigint e from ({matches(0, WORD, "true")})),
+clear as (select w.* from words w anti join spans b on b.doc_id = w.doc_id and b.s < w.e and w.s < b.e),
+held as (select distinct doc_id, name || ' ' || lower(m) entity from spans),
+n_entity as (select entity, count(*) n from held group by entity having count(*) >= 2),
+n_term as (select term, count(distinct doc_id) n from clear group by term),
+pairs as (select entity, term, count(*) n from (select distinct entity, term, held.doc_id from held join n_entity using (entity) join clear on clear.doc_id = held.doc_id) group by all having count(*) >= 2),
+told as (select p.entity, p.term from pairs p join n_entity e on e.entity = p.entity join n_term w on w.term = p.term, (select count(*) total from docs) where total > e.n and ln(p.n * total::double / (w.n * e.n)) / ln(total::double / e.n) >= 0.9),
+marks as (select distinct c.doc_id, c.s, c.e from clear c join held using (doc_id) join told on told.entity = held.entity and told.term = c.term),
+b as (select doc_id, count(*) filter (kind = 0) n_email, count(*) filter (kind = 1) n_ip, count(*) filter (kind = 2) n_card, count(*) filter (kind = 3) n_phone, string_agg(name || ':' || s || ':' || e, ',' order by kind, s) shown from spans group by doc_id),
+m as (select doc_id, string_agg('term:' || s || ':' || e, ',' order by s) shown from marks group by doc_id)
+select docs.doc_id, coalesce(n_email, 0) n_email, coalesce(n_ip, 0) n_ip, coalesce(n_card, 0) n_card, coalesce(n_phone, 0) n_phone, sha256(coalesce(b.shown, '')) base_sha256, concat_ws(',', b.shown, m.shown) spans
+from docs left join b on b.doc_id = docs.doc_id left join m on m.doc_id = docs.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3, "op4_quality": OP4, "op5_warc": OP5, "op9_substrings": OP9}
+    return {"op3_decontaminate": OP3, "op4_quality": OP4, "op5_warc": OP5, "op7_pii": OP7, "op9_substrings": OP9}
