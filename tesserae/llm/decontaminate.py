@@ -28,8 +28,8 @@ from tesserae.llm.common import written
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE = 3
-#: Windows up to which they are broadcast (about 150 bytes each).
-BROADCAST_WINDOWS = 400_000
+#: Windows up to which they are broadcast, and the bytes of their words and items.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 400_000, 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -80,9 +80,10 @@ def candidates(docs: DataFrame, tokens: DataFrame, widths: list[int], size: int,
 def verdicts(docs: DataFrame, items: DataFrame, size: int = 8, min_items: int = 2, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """The rows of ``decontaminate`` with ``_t``, a hash of the text, and ``_whole``: whether a window of all ``size`` words was hit."""
     wins = windows(items, size)
-    sizes = wins.groupBy("_len").count().collect()  # a row for each window length up to ``size``
+    room = F.sum(F.octet_length("_window") + F.aggregate("_items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 16))
+    sizes = wins.groupBy("_len").agg(F.count("*").alias("windows"), room.alias("room")).collect()  # a row for each window length up to ``size``
     widths = sorted({min(SHINGLE, r["_len"]) for r in sizes}) or [SHINGLE]
-    small = sum(r["count"] for r in sizes) <= broadcast_windows
+    small = sum(r["windows"] for r in sizes) <= broadcast_windows and sum(r["room"] for r in sizes) <= BROADCAST_BYTES
     width = F.least("_len", F.lit(SHINGLE))
 
     own = wins.select("*", F.explode(F.sequence(F.lit(0), F.col("_len") - width)).alias("_k"))
