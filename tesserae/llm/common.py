@@ -77,6 +77,7 @@ def without_cycles(batches: Iterable[T]) -> Iterator[T]:
     """The batches of a Python task with the cycle collector off, as large caches make its passes long; freed memory goes back at the end."""
     on = gc.isenabled()
     gc.disable()
+    return_large_blocks()
     try:
         yield from batches
     finally:
@@ -122,6 +123,15 @@ class Kept:
         give_back()
 
 
+def return_large_blocks(size: int = 8 << 20) -> None:
+    """Make blocks of ``size`` bytes or more go back to the system as soon as they are freed."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").mallopt(-3, size)  # M_MMAP_THRESHOLD, which else grows with what is freed
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def give_back() -> None:
     """Return freed memory to the system: reused Python workers would hold it for the rest of the job."""
     gc.collect()

@@ -362,18 +362,19 @@ def parts(text: pa.Array, rows: int = 500, chars: int = 4 << 20) -> Iterator[lis
         yield out
 
 
-def encoded(docs: DataFrame, n: int = 4, path: str | None = None, wanted: Sequence[str] = ("pieces", "scores", "nbest", "agrees", "decoded")) -> DataFrame:
+def encoded(docs: DataFrame, n: int = 4, path: str | None = None, wanted: Sequence[str] = ("pieces", "scores", "nbest", "agrees", "decoded"), cache_bytes: int = 24 << 20) -> DataFrame:
     """``docs`` with what is ``wanted`` of ``pieces`` (ids), ``scores`` of the N best, ``nbest`` (their ids), ``agrees`` and ``decoded``.
 
     Columns of those names are replaced.  Rows leave Python in small batches,
-    as ids take several times the room of their text.
+    as ids take several times the room of their text; a worker holds what it
+    has met of segments twice in ``cache_bytes`` at most, about.
     """
     kinds = {"pieces": "array<int>", "scores": "array<double>", "nbest": "array<array<int>>", "agrees": "boolean", "decoded": "string"}
     docs = docs.drop(*kinds)
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with kept_model().use(data.value, n) as model:
+        with kept_model().use(data.value, n, cache_bytes) as model:
             yield from ready(model, without_cycles(batches))
 
     def ready(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,13 +396,13 @@ def encoded(docs: DataFrame, n: int = 4, path: str | None = None, wanted: Sequen
     return docs.mapInArrow(run, ", ".join([*given, *[f"{c} {kinds[c]}" for c in wanted]]))
 
 
-def digest(docs: DataFrame, n: int = 4, path: str | None = None) -> DataFrame:
+def digest(docs: DataFrame, n: int = 4, path: str | None = None, cache_bytes: int = 120 << 20) -> DataFrame:
     """doc_id, n_pieces, pieces_sha256 (of the ids, four bytes each, low first), nbest_sha256 (of all bests' in a row), scores, agrees and round_trip."""
     data = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     @F.arrow_udf("struct<n_pieces:long,pieces_sha256:string,nbest_sha256:string,scores:array<double>,agrees:boolean,round_trip:boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        with kept_model().use(data.value, n) as model:
+        with kept_model().use(data.value, n, cache_bytes) as model:
             yield from digests(model, without_cycles(batches))
 
     def digests(model: Model, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
