@@ -165,7 +165,7 @@ def parse_date(raw: Column, languages: Sequence[str] | None = None, today: Colum
     shapes = {**NUMERIC, "named": NAMED}
 
     def found(x: Column) -> Column:
-        places = F.array_sort(F.filter(F.array(*[F.struct(F.regexp_instr(x["k"], F.lit(rf"(?<![yn/-])(?:{p})(?![yn/-])")).alias("at"), F.lit(n).alias("n")) for n, p in shapes.items()]), lambda y: y["at"] > 0))
+        places = F.array_sort(F.filter(F.array(*[F.struct(F.regexp_instr(x["k"], F.lit(rf"(?<![yn/-])(?<![yn]\.)(?:{p})(?!\.?[yn]|[/-])")).alias("at"), F.lit(n).alias("n")) for n, p in shapes.items()]), lambda y: y["at"] > 0))
         first = F.get(places, F.lit(0))
         return F.when(F.size(places) > 0, spelled(F.slice(x["t"], first["at"], 40), first["n"], others, month_first))
 
