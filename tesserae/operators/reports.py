@@ -14,6 +14,10 @@ from tesserae.functions import urls as U
 STATUS = ["stale_links", "post_limit", "page1_only", "stopped_early", "capped", "unfiltered", "complete", "probe_only"]
 RUN_KINDS = ["run", "run_snapshot"]
 FAILURE_RATE = 0.5
+# Who sets the bound of an archive's probing, and the lines that name suggestions are made of (C country, S speaker).
+BOUND_BY = ["--wayback-to", "recipe wayback_extend.wayback_to", "date_floor of the scraped CSV (", "unbounded (nothing scraped yet, no wayback_to)"]
+SURNAME_LINES = ['  # C: "S" looks like a surname only — map to the full name:', '  dataframe$speaker[dataframe$country == "C" & dataframe$speaker == "S"] <- "<FULL NAME>"']
+NAME_LINES = ['  # C: confirm canonical form of "S" (add variants if any)']
 
 
 def link_universe(listed: DataFrame) -> DataFrame:
@@ -74,11 +78,9 @@ def date_floor(rows: DataFrame, *by: str) -> DataFrame:
 def archive_bound(override: Column, recipe: Column, floor: Column) -> Column:
     """struct<bound, origin>: up to which day a source's archive is probed, and who says so."""
     said = lambda v, o: F.struct(v.alias("bound"), o.alias("origin"))
-    return (
-        F.when(~T.blank(override), said(override, F.lit("--wayback-to"))).when(~T.blank(recipe), said(recipe, F.lit("recipe wayback_extend.wayback_to")))
-        .when(~T.blank(floor), said(F.replace(floor, F.lit("-"), F.lit("")), F.concat(F.lit("date_floor of the scraped CSV ("), floor, F.lit(")"))))
-        .otherwise(said(F.lit(None).cast("string"), F.lit("unbounded (nothing scraped yet, no wayback_to)")))
-    )
+    from_floor = said(F.replace(floor, F.lit("-"), F.lit("")), F.concat(F.lit(BOUND_BY[2]), floor, F.lit(")")))
+    out = F.when(~T.blank(override), said(override, F.lit(BOUND_BY[0]))).when(~T.blank(recipe), said(recipe, F.lit(BOUND_BY[1]))).when(~T.blank(floor), from_floor)
+    return out.otherwise(said(F.lit(None).cast("string"), F.lit(BOUND_BY[3])))
 
 
 def media_marks(media: DataFrame) -> DataFrame:
@@ -140,11 +142,5 @@ def buckets(matched: DataFrame) -> DataFrame:
 
 def name_suggestions(approved: DataFrame) -> DataFrame:
     """Lines for the key of names, by ``country, speaker, k``: a name of one word needs its full form, others a look."""
-    sp, co = F.col("speaker"), F.col("country")
-    lit = F.lit
-    short = F.array(
-        F.concat(lit("  # "), co, lit(': "'), sp, lit('" looks like a surname only — map to the full name:')),
-        F.concat(lit('  dataframe$speaker[dataframe$country == "'), co, lit('" & dataframe$speaker == "'), sp, lit('"] <- "<FULL NAME>"')),
-    )
-    long = F.array(F.concat(lit("  # "), co, lit(': confirm canonical form of "'), sp, lit('" (add variants if any)')))
-    return approved.select("country", "speaker", F.posexplode(F.when(F.size(T.words(sp)) == 1, short).otherwise(long)).alias("k", "line"))
+    made = lambda lines: F.array(*[F.replace(F.replace(F.lit(x.replace('"C"', '"\x01"').replace("# C:", "# \x01:").replace('"S"', '"\x02"')), F.lit("\x01"), F.col("country")), F.lit("\x02"), F.col("speaker")) for x in lines])
+    return approved.select("country", "speaker", F.posexplode(F.when(F.size(T.words(F.col("speaker"))) == 1, made(SURNAME_LINES)).otherwise(made(NAME_LINES))).alias("k", "line"))

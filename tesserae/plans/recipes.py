@@ -84,27 +84,27 @@ def needs(r: dict) -> Iterator[tuple[bool, str]]:
     for k in ("source_id", "country"):
         yield bool(r[k]), f"{k} is missing"
     yield isinstance(r["start_urls"], list), "start_urls is missing"
-    yield bool(listing.get("link_selector") or listing.get("link_pattern")), "listing needs link_selector and/or link_pattern"
-    yield not items or bool(listing.get("item_selector")), "listing.item_date and item_title need an item_selector, the block that holds one link"
-    yield not listing.get("item_selector") or items, "listing.item_selector does nothing without item_date or item_title"
+    yield bool(listing.get("link_selector") or listing.get("link_pattern")), "listing: give link_selector, link_pattern or both"
+    yield not items or bool(listing.get("item_selector")), "listing: item_date and item_title are read within an item_selector, which is missing"
+    yield not listing.get("item_selector") or items, "listing.item_selector: no item_date or item_title to read in it"
     for k in ("item_date", "item_title"):
-        yield not (listing.get(k) or {}).get("url_regex"), f"listing.{k}.url_regex does nothing: items are read from the listing, not from a URL"
-    yield keep is None or bool(keep["selectors"] or keep["pattern"]), "keep_if needs selectors and/or pattern"
+        yield not (listing.get(k) or {}).get("url_regex"), f"listing.{k}.url_regex: an item has no URL of its own"
+    yield keep is None or bool(keep["selectors"] or keep["pattern"]), "keep_if: give selectors, pattern or both"
     for k in ("title", "text", "date"):
         f = r[k] or {}
-        yield bool(f.get("selectors") or f.get("url_regex")) or r["content_type"] == "pdf", f"field '{k}' needs at least one selector or a url_regex"
+        yield bool(f.get("selectors") or f.get("url_regex")) or r["content_type"] == "pdf", f"{k}: no selector and no url_regex"
     for of, k in (("query_param", "param"), ("click", "next_selector"), ("next_link", "next_selector"), ("url_list", "url_list"), ("sitemap", "sitemap_urls"), ("api", "api")):
-        yield kind != of or bool(pages[k]), f"{of} pagination needs '{k}'"
+        yield kind != of or bool(pages[k]), f"pagination {of}: {k} is missing"
     for of in ("wayback", "feed"):
-        yield kind != of or bool(r["start_urls"]), f"{of} pagination needs start_urls"
+        yield kind != of or bool(r["start_urls"]), f"pagination {of}: start_urls is empty"
     if form := pages["path_format"]:
         try:
-            yield form.format(n=0) != form, "pagination.path_format must contain the '{n}' page-index placeholder"
+            yield form.format(n=0) != form, "pagination.path_format: no place for the number of a page, {n}"
         except (KeyError, ValueError, IndexError):
-            yield False, "pagination.path_format is not a valid format string"
+            yield False, "pagination.path_format: it can't be filled in"
     if kind == "api" and (api := pages["api"]):
-        yield bool(api["results_path"] and api["url_field"]), "api pagination needs 'api.results_path' and 'api.url_field'"
-        yield (api["method"] or "GET").upper() in ("GET", "POST"), "api.method must be 'GET' or 'POST'"
+        yield bool(api["results_path"] and api["url_field"]), "api: results_path and url_field are both needed"
+        yield (api["method"] or "GET").upper() in ("GET", "POST"), "api.method: GET or POST"
 
 
 def checked(data: object) -> tuple[dict, list[str]]:

@@ -31,11 +31,11 @@ def test_defaults():
 @pytest.mark.parametrize(
     "old, new, message",
     [
-        ("link_pattern: '/talks/', ", "", "link_selector and/or link_pattern"), ("item_selector: li, ", "", "item_selector"), (", item_date: {selectors: [time]}", "", "does nothing without"),
-        ("{selectors: [time]}}", "{selectors: [time], url_regex: x}}", "does nothing: items"), ("{selectors: [nav], pattern: '(?i)speeches'}", "{negate: true}", "keep_if needs"), ("param: start, ", "", "needs 'param'"),
-        ("{type: query_param, param: start, step: 40}", "{type: path, path_format: /page}", "placeholder"), ("{type: query_param, param: start, step: 40}", "{type: path, path_format: '{m}'}", "valid format"),
-        ("{type: query_param, param: start, step: 40}", "{type: api, api: {results_path: r}}", "url_field"), ("{type: query_param, param: start, step: 40}", "{type: api, api: {results_path: r, url_field: u, method: PUT}}", "GET"),
-        ("{type: query_param, param: start, step: 40}", "{type: sitemap}", "sitemap_urls"), ("type: query_param", "type: scroll", "is none of"), ("title: {selectors: [h2, h1]}", "title: {attr: x}", "'title' needs"),
+        ("link_pattern: '/talks/', ", "", "link_selector, link_pattern or both"), ("item_selector: li, ", "", "within an item_selector"), (", item_date: {selectors: [time]}", "", "to read in it"),
+        ("{selectors: [time]}}", "{selectors: [time], url_regex: x}}", "no URL of its own"), ("{selectors: [nav], pattern: '(?i)speeches'}", "{negate: true}", "keep_if: give"), ("param: start, ", "", "param is missing"),
+        ("{type: query_param, param: start, step: 40}", "{type: path, path_format: /page}", "no place for the number"), ("{type: query_param, param: start, step: 40}", "{type: path, path_format: '{m}'}", "be filled in"),
+        ("{type: query_param, param: start, step: 40}", "{type: api, api: {results_path: r}}", "both needed"), ("{type: query_param, param: start, step: 40}", "{type: api, api: {results_path: r, url_field: u, method: PUT}}", "GET or POST"),
+        ("{type: query_param, param: start, step: 40}", "{type: sitemap}", "sitemap_urls is missing"), ("type: query_param", "type: scroll", "is none of"), ("title: {selectors: [h2, h1]}", "title: {attr: x}", "title: no selector"),
         ("country: Argentina", "contry: Argentina", "no such setting"), ("'/talks/'", "'(talks'", "link_pattern"), ("text: {selectors: [article]}", "text: [article]", "must be a mapping"),
     ],
 )
