@@ -153,7 +153,7 @@ class Network:
 class Vocabulary:
     """Hashed features of distinct words: a bucket for each, and buckets of its n-grams of ``GRAM_SIZES`` bytes.
 
-    A word stands between ``<`` and ``>>``; bucket ``GRAMS`` is no n-gram.
+    A word stands between ``<`` and ``>>``.
     """
 
     def __init__(self, words: list[str]):
@@ -164,15 +164,16 @@ class Vocabulary:
         b = np.frombuffer(b"".join(b"<%b>>" % w for w in coded) + bytes(longest), np.uint8).astype(np.uint32)
         total = len(b) - longest
         left = np.repeat(np.cumsum(size), size) - np.arange(total)
-        shift, h, index = np.uint32(32 - GRAMS.bit_length() + 1), np.zeros(total, np.uint32), []
+        shift, h, index, fits = np.uint32(32 - GRAMS.bit_length() + 1), np.zeros(total, np.uint32), [], []
         for k in range(longest):
             h = (h ^ b[k : k + total]) * np.uint32(0x85EBCA6B)
             h ^= h >> np.uint32(15)
             if k + 1 in GRAM_SIZES:
-                index.append(np.where(left > k, (h * np.uint32(0xC2B2AE35)) >> shift, GRAMS))
-        kinds = len(GRAM_SIZES)
-        self.gram, self.size, self.start = np.stack(index, 1).astype(np.int64).ravel(), kinds * size, kinds * (np.cumsum(size) - size)
-        self.count = np.maximum(1, sum(np.maximum(size - k + 1, 0) for k in GRAM_SIZES)).astype(np.float32)
+                index.append((h * np.uint32(0xC2B2AE35)) >> shift)
+                fits.append(left > k)
+        self.gram = np.stack(index, 1)[np.stack(fits, 1)].astype(np.int64)  # word by word
+        self.size = sum(np.maximum(size - k + 1, 0) for k in GRAM_SIZES)  # one at least, as the shortest gram fits any word
+        self.start, self.count = np.cumsum(self.size) - self.size, self.size.astype(np.float32)
 
     def grams(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """N-gram buckets of all ``rows`` end to end, and where each row's begin."""
@@ -198,7 +199,7 @@ class Vocabulary:
 class Scorer:
     """A network with the gate inputs of the words it has met."""
 
-    def __init__(self, net: Network, cached: int = 150_000):
+    def __init__(self, net: Network, cached: int = 250_000):
         self.net, self.cached = net, cached
         self.clear()
 
