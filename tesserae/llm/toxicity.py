@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import give_back, without_cycles
 
-WINDOW, TRAIN_STRIDE = 12, 6
+WINDOW, TRAIN_STRIDE = 9, 4
 PART, OVERLAP = 24, 12
 #: Labelled rows of each label, at most, that the network is fitted on, and the bytes of the longest text among them.
 MAX_TRAIN, MAX_BYTES = 1500, 1 << 16
@@ -306,7 +306,7 @@ def cut(ids: np.ndarray, sizes: list[int], stride: int = 1) -> tuple[np.ndarray,
     return np.where(inside, np.append(ids, 0)[np.minimum(at, len(ids))], 0), owner
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192, steps: int = 100, best: int = 3, common: float = 0.998, decay: float = 0.01) -> Network:
+def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 7, batch: int = 192, steps: int = 70, best: int = 3, common: float = 0.998, decay: float = 0.01) -> Network:
     """A network fitted on whole texts and their 0/1 labels."""
     net, rng, y = Network(seed), np.random.default_rng(seed), np.array(labels)
     docs = [tokens(t) for t in texts]
