@@ -76,10 +76,11 @@ def seeded_sample(rows: DataFrame, n: int, seed: int, key: str = "doc_id") -> Da
 
 
 def numbered(rows: DataFrame, last: DataFrame) -> DataFrame:
-    """``rows`` (country, iso3, ord) with doc_ids that continue each country's counter (``last``: country, last_num)."""
+    """``rows`` (country, iso3, ord) with doc_ids that continue each country's counter (``last``: country, last_num); rows without a country have one too."""
     n = F.coalesce("last_num", F.lit(0)) + F.col("_n")
-    numbers = placed(rows, ["country"]).join(last, "country", "left").withColumn("doc_num", n)
-    return numbers.withColumn("doc_id", T.document_id(F.col("iso3"), F.col("doc_num"))).drop("last_num", "_n")
+    before = last.select(F.col("country").alias("_of"), "last_num")
+    numbers = placed(rows, ["country"]).join(before, F.col("country").eqNullSafe(F.col("_of")), "left").withColumn("doc_num", n)
+    return numbers.withColumn("doc_id", T.document_id(F.col("iso3"), F.col("doc_num"))).drop("_of", "last_num", "_n")
 
 
 def universe(listed: DataFrame) -> DataFrame:

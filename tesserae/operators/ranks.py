@@ -18,21 +18,21 @@ def placed(rows: DataFrame, keys: Sequence[str] = (), order: str = "ord", name:
     Quantiles cut the order into pieces; places within a piece come from a
     window over key and piece, and what lies before it from the pieces' counts,
     of which there are no more than keys times pieces.  Rows that tie in
-    ``order`` share a piece.
+    ``order`` share a piece; those without one come last.
     """
-    total = rows.count()
+    total, by = rows.count(), F.col(order).asc_nulls_last()
     pieces = min(MOST_PIECES, -(-total // piece_rows))
     if pieces <= 1:
-        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(by)).cast("long"))
     cuts = rows.agg(F.percentile_approx(order, [k / pieces for k in range(1, pieces)], 10 * pieces).alias("q")).first()["q"]
     cuts = F.array(*[F.lit(x) for x in sorted(set(cuts))])
     # the random zero keeps the optimizer from carrying the lambda over to the other side of the join, where ``order`` isn't
-    cut = rows.withColumn("_piece", F.size(F.filter(cuts, lambda x: x < F.col(order))) + (F.rand(0) * 0).cast("int"))
+    cut = rows.withColumn("_piece", F.size(F.filter(cuts, lambda x: F.coalesce(x < F.col(order), F.lit(True)))) + (F.rand(0) * 0).cast("int"))
     counts = cut.groupBy(*keys, "_piece").agg(F.count("*").alias("_count"))
     before = F.coalesce(F.sum("_count").over(Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_piece").alias("_p"), before.alias("_before"))
     on = F.col("_piece") == F.col("_p")
     for i, k in enumerate(keys):
         on &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    here = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(order))
+    here = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(by))
     return cut.withColumn("_here", here).join(counts, on).select(*rows.columns, (F.col("_before") + F.col("_here")).alias(name))
