@@ -45,3 +45,20 @@ def test_ids_past_four_digits(spark, both):
     more = spark.createDataFrame([("A", "AAA", 1), (None, None, 2)], "country string, iso3 string, ord long")
     last = spark.createDataFrame([("A", 9_999), (None, 7)], "country string, last_num long")
     assert sorted(r.doc_id for r in links.numbered(more, last).collect()) == ["AAA10000", "XXX0008"]
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def test_fields_of_no_page(both):
+    rows = [(1, "u", None), (2, "u", ""), (3, "u", "<title> A &amp; b</title><h1 class='x'>C</h1>"), (4, None, "<p>d</p>"), (5, "u", None)]
+    got, want = both("html_fields", "pages", rows, PAGES)
+    assert got == want == {(1, None, None), (2, "", ""), (3, "A & b", "C"), (4, "", ""), (5, None, None)}
+
+
+def test_fields_with_other_references(both):
+    """The SQL reads ``&amp;`` and no other; ours reads what pages are written with, also where a cut took the last semicolon."""
+    rows = [(1, "u", "<title>token = &quot;77</title><h1>x&lt;y &#39;z&#39;</h1>"), (2, "u", "<title>this&amp;&amp</title><h1>a &amp;lt; b</h1>"), (3, "u", "<title>this&am</title><h1>caf&eacute;</h1>")]
+    got, want = both("html_fields", "pages", rows, PAGES)
+    assert got == {(1, 'token = "77', "x<y 'z'"), (2, "this&&", "a &lt; b"), (3, "this&am", "café")}
+    assert want == {(1, "token = &quot;77", "x&lt;y &#39;z&#39;"), (2, "this&&amp", "a &lt; b"), (3, "this&am", "caf&eacute;")}
