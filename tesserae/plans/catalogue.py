@@ -385,7 +385,8 @@ def cells_pivot(spark, d):
 @query("select doc_id, case lang when 'en' then 'en' else lang end iso, lang <> 'en' needs from documents")
 def translate_need(spark, d):
     origin, target = F.when(c("lang") != "en", c("text")), F.when(c("lang") == "en", c("text"))
-    return table(spark, d, "documents").select("doc_id", L.source_language(F.lit(None).cast("string"), c("lang")).alias("iso"), L.needs_translation(origin, target).alias("needs"))
+    needs = F.when(c("lang").isNotNull(), L.needs_translation(origin, target))  # without a language it isn't known which of both the text is
+    return table(spark, d, "documents").select("doc_id", L.source_language(F.lit(None).cast("string"), c("lang")).alias("iso"), needs.alias("needs"))
 
 
 @query("select doc_id, 'speaker: not available' || chr(10) || 'lang: ' || lang || chr(10) || 'text:' || chr(10) || case when len(w) > 20 then array_to_string(w[1:20], ' ') || ' [...]' else text end prompt from (select *, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') w from documents)")

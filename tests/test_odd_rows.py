@@ -62,3 +62,16 @@ def test_fields_with_other_references(both):
     got, want = both("html_fields", "pages", rows, PAGES)
     assert got == {(1, 'token = "77', "x<y 'z'"), (2, "this&&", "a &lt; b"), (3, "this&am", "café")}
     assert want == {(1, "token = &quot;77", "x&lt;y &#39;z&#39;"), (2, "this&&amp", "a &lt; b"), (3, "this&am", "caf&eacute;")}
+
+
+def test_need_without_language(both):
+    rows = [(1, "x", None, "s", 1), (2, "x", "en", "s", 1), (3, "x", "fr", "s", 1), (4, None, None, "s", 1), (5, "", "en", "s", 1), (6, None, "en", "s", 1)]
+    got, want = both("translate_need", "documents", rows, DOCS)
+    assert got == want == {(1, None, None), (2, "en", False), (3, "fr", True), (4, None, None), (5, "en", False), (6, "en", False)}
+
+
+def test_need_without_text(both):
+    """The SQL looks at the language alone; where there is no text there is nothing to translate."""
+    rows = [(k, t, "de", "s", 1) for k, t in enumerate([None, "", "  ", "\n\t\u3000", "ja"])]
+    got, want = both("translate_need", "documents", rows, DOCS)
+    assert got == {(k, "de", k == 4) for k in range(5)} and want == {(k, "de", True) for k in range(5)}
