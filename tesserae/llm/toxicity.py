@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ THRESHOLD = 0.7
 #: Every which negative document is kept aside, the share of those that may reach the threshold, and that of positive ones that may not.
 ASIDE, MAX_FALSE, MISSED = 5, 0.02, 0.1
 WORDS, GRAMS, DIM, HIDDEN = 1 << 12, 1 << 14, 12, 8
+#: Windows that are scored side by side.
+CHUNK = 4096
 #: Bytes of the n-grams.
 GRAM_SIZES = (4, 6, 8)
 
@@ -158,10 +161,10 @@ class Vocabulary:
 
     def __init__(self, words: list[str]):
         coded = [w.encode("utf-8", "surrogatepass") for w in words]
-        self.word = np.fromiter((zlib.crc32(w) % WORDS for w in coded), np.int64, len(coded))
+        self.word = np.fromiter(map(zlib.crc32, coded), np.int64, len(coded)) % WORDS
         size = np.fromiter(map(len, coded), np.int64, len(coded)) + 3
         longest = max(GRAM_SIZES)
-        b = np.frombuffer(b"".join(b"<%b>>" % w for w in coded) + bytes(longest), np.uint8).astype(np.uint32)
+        b = np.frombuffer((b"<%b>>" % b">><".join(coded) if coded else b"") + bytes(longest), np.uint8).astype(np.uint32)
         total = len(b) - longest
         left = np.repeat(np.cumsum(size), size) - np.arange(total)
         shift, h, index, fits = np.uint32(32 - GRAMS.bit_length() + 1), np.zeros(total, np.uint32), [], []
@@ -181,9 +184,11 @@ class Vocabulary:
         begin = np.cumsum(size) - size
         return self.gram[np.repeat(self.start[rows] - begin, size) + np.arange(size.sum())], begin
 
-    def vectors(self, net: Network, rows: np.ndarray) -> np.ndarray:
-        flat, begin = self.grams(rows)
-        mean = np.add.reduceat(net.p["gram"][flat], begin) / self.count[rows][:, None]
+    def vectors(self, net: Network, rows: np.ndarray | None = None) -> np.ndarray:
+        """Of the ``rows``, or of all words."""
+        flat, begin = (self.gram, self.start) if rows is None else self.grams(rows)
+        rows = slice(None) if rows is None else rows
+        mean = np.add.reduceat(net.p["gram"].take(flat, 0), begin) / self.count[rows][:, None]
         return np.concatenate((net.p["word"][self.word[rows]], mean), 1)
 
     def gradients(self, rows: np.ndarray, d: np.ndarray) -> dict[str, np.ndarray]:
@@ -196,81 +201,151 @@ class Vocabulary:
         return out
 
 
+class Numbers(dict):
+    """Words numbered from 1 on as they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self) + 1
+        return n
+
+
+def tanh_of_half(x: np.ndarray) -> np.ndarray:
+    """tanh(x / 2), in place; by exp, which numpy has faster."""
+    np.exp(x, x)
+    x += 1
+    np.divide(-2, x, x)
+    x += 1
+    return x
+
+
 class Scorer:
-    """A network with the gate inputs of the words it has met."""
+    """A network with the gate inputs of the words it has met, and the states that windows have after one word.
+
+    Inputs of gates are kept with their sign turned and those of candidates doubled, as exp takes them.
+    """
 
     def __init__(self, net: Network, cached: int = 250_000):
         self.net, self.cached = net, cached
+        p, h = net.p, HIDDEN
+        turn = np.repeat(np.float32([-1, 2]), [2 * h, h])
+        self.turn = np.tile(turn, 2)
+        u = [(p[f"U{way}"] * turn).T for way in "fb"]
+        self.gates, self.new = [np.ascontiguousarray(x[: 2 * h]) for x in u], [np.ascontiguousarray(x[2 * h :]) for x in u]
+        self.key, self.scratch = np.ascontiguousarray(2 * p["A"].T), np.empty(0, np.float32)
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
-        self.table[0] = self.net.project(np.zeros(2 * DIM, np.float32))
-        self.used = 1
-
-    def add(self, words: list[str]) -> None:
-        x = Vocabulary(words).vectors(self.net, np.arange(len(words)))
-        while self.used + len(words) > len(self.table):
+        self.index = Numbers()
+        self.table, self.seen = np.zeros((1024, 8 * HIDDEN), np.float32), np.zeros(1, np.int64)
+        self.put(0, np.zeros((1, 2 * DIM), np.float32))
+
+    def put(self, at: int, x: np.ndarray) -> None:
+        """What follows from the word vectors ``x``, in the table from row ``at`` on."""
+        h, rows = HIDDEN, self.rows(at + len(x))[at:]
+        rows[:, : 6 * h] = self.net.project(x) * self.turn
+        for k in (0, 3):
+            new = tanh_of_half(rows[:, h * (k + 2) : h * (k + 3)].copy())
+            rows[:, h * (6 + k // 3) :][:, :h] = new - new / (1 + np.exp(rows[:, h * k : h * (k + 1)]))
+
+    def rows(self, n: int) -> np.ndarray:
+        while n > len(self.table):
             self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-        self.table[self.used : self.used + len(words)] = self.net.project(x)
-        self.index.update(zip(words, range(self.used, self.used + len(words)), strict=True))
-        self.used += len(words)
+        return self.table[:n]
 
     def ids(self, words: list[str]) -> np.ndarray:
-        index = self.index
-        if fresh := [w for w in dict.fromkeys(words) if w not in index]:
-            if self.used + len(fresh) > self.cached and self.used > 1:
-                self.clear()
-                fresh, index = list(dict.fromkeys(words)), self.index
-            self.add(fresh)
-        return np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+        """The rows of the words in the table; new words enter it, and if it is full, only the half of it that was met most often stays."""
+        known = len(self.index)
+        out = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+        if known and len(self.index) > self.cached:
+            stay = np.sort(np.argsort(-self.seen[1:], kind="stable")[: self.cached // 2])
+            names, rows, seen = list(self.index), self.table[stay + 1], self.seen[stay + 1]
+            self.clear()
+            known = len(stay)
+            self.index.update(zip([names[k] for k in stay], range(1, known + 1), strict=True))
+            self.rows(known + 1)[1:] = rows
+            self.seen = np.append(0, seen // 2)
+            out = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+        if len(self.index) > known:
+            fresh = list(islice(self.index, known, None))
+            self.put(known + 1, Vocabulary(fresh).vectors(self.net))
+        seen = np.bincount(out, minlength=len(self.index) + 1)
+        seen[: len(self.seen)] += self.seen
+        self.seen = seen
+        return out
 
-    def logits(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of the windows that begin at the ascending places ``at`` of the word ids, 0 being padding.
+    def highest(self, ids: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The highest logit of each document's windows, one from each of the ``counts`` places from ``first`` on of the word ids, 0 being padding.
 
         As ``Network.pooled``, with the places side by side: neighbouring windows are slices.
+        A window's logit is a mean of the values of its states, so attention is left out
+        where none of them is above a logit that the document has already.
         """
-        x, pad = np.ascontiguousarray(self.table[ids].T), (ids == 0) * np.float32(-1e4)
-        out = []
-        for k in range(0, len(at), 2048):
-            some = at[k : k + 2048]
+        owner = np.repeat(np.arange(len(counts)), counts)
+        at = np.arange(len(owner)) + np.repeat(first - np.cumsum(counts) + counts, counts)
+        best = np.full(len(counts), -np.inf, np.float32)
+        for k in range(0, len(at), CHUNK):
+            some, of = at[k : k + CHUNK], owner[k : k + CHUNK]
             begin, span = some[0], some[-1] - some[0] + 1
             if span <= 1.25 * len(some):
-                out.append(self.pooled(x, pad, lambda t: slice(begin + t, begin + t + span), span)[some - begin])  # noqa: B023
+                s, value = self.states(ids[begin : begin + span + WINDOW - 1], 1, span)
+                column = some - begin
             else:
-                out.append(self.pooled(x, pad, lambda t: some + t, len(some)))  # noqa: B023
-        return np.concatenate(out)
-
-    def pooled(self, x: np.ndarray, pad: np.ndarray, place, n: int) -> np.ndarray:
-        p, h = self.net.p, HIDDEN
-        s, e = np.empty((WINDOW, 2 * h, n), np.float32), np.empty((WINDOW, n), np.float32)
-        for way, lo, steps in (("f", 0, range(WINDOW)), ("b", h, range(WINDOW - 1, -1, -1))):
-            gates, new = np.ascontiguousarray(p[f"U{way}"][:, : 2 * h].T), np.ascontiguousarray(p[f"U{way}"][:, 2 * h :].T)
-            state, own = np.zeros((h, n), np.float32), x[3 * lo : 3 * (lo + h)]
+                s, value = self.states(ids[some + np.arange(WINDOW)[:, None]].ravel(), len(some), len(some))
+                column = np.arange(len(some))
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            bound, left = value.max(0)[column], np.ones(len(some), bool)
+            for order in (value.mean(0)[column], bound, None):
+                if order is None:
+                    now = np.flatnonzero(left & ~(bound <= best[of]))
+                else:  # a first guess, so that the rest has something to be below of
+                    now = np.flatnonzero(left & ~(order < np.repeat(np.maximum.reduceat(order, starts), np.diff(starts, append=len(of)))))
+                left[now] = False
+                for lo in range(0, len(now), 512):
+                    rows = now[lo : lo + 512]
+                    pad = (ids[some[rows] + np.arange(WINDOW)[:, None]] == 0) * np.float32(-1e4)
+                    np.maximum.at(best, of[rows], self.attended(s[..., column[rows]], value[:, column[rows]], pad))
+        return best + self.net.p["ob"][0]
+
+    def states(self, ids: np.ndarray, step: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """States (steps, 2 hidden, n) of n windows, and their values, whose mean by attention is a logit.
+
+        The t-th words of all windows are n of ``ids`` from the place ``t * step`` on.  The next call overwrites the states.
+        """
+        h, look, x = HIDDEN, self.net.p["o"], np.ascontiguousarray(self.table.take(ids, 0).T)
+        room = WINDOW * 2 * h * n
+        if len(self.scratch) < room + 3 * h * n:
+            self.scratch = np.empty(room + 3 * h * n, np.float32)
+        s = self.scratch[:room].reshape(WINDOW, 2 * h, n)
+        g, c = np.split(self.scratch[room : room + 3 * h * n].reshape(3 * h, n), [2 * h])
+        value = np.zeros((WINDOW, n), np.float32)
+        for k, steps in ((0, range(WINDOW)), (1, range(WINDOW - 1, -1, -1))):
+            own, gates, new, state = x[3 * h * k : 3 * h * (k + 1)], self.gates[k], self.new[k], None
             for t in steps:
-                v = own[:, place(t)]
-                g = gates @ state
-                g += v[: 2 * h]
-                np.negative(g, g)
-                np.exp(g, g)
-                g += 1
-                np.reciprocal(g, g)
-                g[h:] *= state
-                c = new @ g[h:]
-                c += v[2 * h :]
-                np.tanh(c, c)
-                state -= c
-                state *= g[:h]
-                state += c
-                s[t, lo : lo + h] = state
-        key, look = np.ascontiguousarray(p["A"].T), p["o"]
-        for t in range(WINDOW):
-            c = key @ s[t]
-            e[t] = p["v"] @ np.tanh(c, c) + pad[place(t)]
+                out, place = s[t, h * k : h * (k + 1)], slice(t * step, t * step + n)
+                if state is None:
+                    out[:] = x[h * (6 + k) : h * (7 + k), place]
+                else:
+                    np.matmul(gates, state, g)
+                    g += own[: 2 * h, place]
+                    np.exp(g, g)
+                    g += 1
+                    np.divide(state, g[h:], g[h:])
+                    np.matmul(new, g[h:], c)
+                    c += own[2 * h :, place]
+                    tanh_of_half(c)
+                    np.subtract(state, c, out)
+                    out /= g[:h]
+                    out += c
+                state = out
+                value[t] += look[h * k : h * (k + 1)] @ state
+        return s, value
+
+    def attended(self, s: np.ndarray, value: np.ndarray, pad: np.ndarray) -> np.ndarray:
+        """The means of the values (steps, n) by attention to the states."""
+        e = self.net.p["v"] @ tanh_of_half(self.key @ s) + pad
         e -= e.max(0)
         np.exp(e, e)
-        return (e * (look @ s)).sum(0) / e.sum(0) + p["ob"][0]
+        return (e * value).sum(0) / e.sum(0)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out, todo, held = [], [], 0
@@ -290,9 +365,7 @@ class Scorer:
         ids = np.zeros(room.sum(), np.int32)
         ids[np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = self.ids([w for d in docs for w in d])
         counts = room - WINDOW + 1
-        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        got = self.logits(ids, np.repeat(first, counts) + nth)
-        return sigmoid(np.maximum.reduceat(got, np.cumsum(counts) - counts))
+        return sigmoid(self.highest(ids, first, counts))
 
 
 def cut(ids: np.ndarray, sizes: list[int], stride: int = 1) -> tuple[np.ndarray, np.ndarray]:

@@ -270,6 +270,48 @@ def test_scores_are_the_highest_of_all_windows():
         assert abs(toxicity.sigmoid(max(logits)) - score) < 1e-4
 
 
+def plain_score(net, text):
+    """The highest of all windows, one network pass each, with attention everywhere."""
+    words, best = toxicity.tokens(text), -np.inf
+    for k in range(max(1, len(words) - toxicity.WINDOW + 1)):
+        some = words[k : k + toxicity.WINDOW]
+        x = np.zeros((toxicity.WINDOW, 1, 2 * toxicity.DIM), np.float32)
+        if some:
+            x[: len(some), 0] = toxicity.Vocabulary(some).vectors(net, np.arange(len(some)))
+        z, h = net.project(x), 3 * toxicity.HIDDEN
+        best = max(best, net.pooled(z[..., :h], z[..., h:], (np.arange(toxicity.WINDOW) < len(some)).astype(np.float32)[:, None])[0][0])
+    return toxicity.sigmoid(best)
+
+
+def test_attention_only_where_a_window_can_be_the_highest(monkeypatch):
+    rng = np.random.default_rng(8)
+    net = toxicity.Network(6)
+    net.p["o"] *= 5
+    for sizes, chunk in (([900, 3, 2000, 0, 40], 4096), ([900, 3, 2000, 0, 40], 64), (rng.integers(0, 12, 300), 128)):
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        texts = [" ".join(f"w{k}" for k in rng.integers(0, 400, n)) for n in sizes]
+        scorer, seen = toxicity.Scorer(net), []
+        plain = scorer.attended
+        monkeypatch.setattr(scorer, "attended", lambda s, *more: seen.append(s.shape[2]) or plain(s, *more))  # noqa: B023
+        got = scorer.scores(texts)
+        assert np.abs(got - [plain_score(net, t) for t in texts]).max() < 1e-5
+        windows = sum(max(1, n - toxicity.WINDOW + 1) for n in sizes)
+        assert sum(seen) < 0.6 * windows or max(sizes) < 12 and sum(seen) <= windows
+
+
+def test_frequent_words_stay_when_the_table_is_full(monkeypatch):
+    net = toxicity.Network(2)
+    texts = [" ".join(["often", "again", *(f"new{k}x{i}" for i in range(30)), "often", "again"]) for k in range(40)]
+    scorer, added = toxicity.Scorer(net, cached=100), []
+    plain = scorer.put
+    monkeypatch.setattr(scorer, "put", lambda at, x: added.append(len(x)) or plain(at, x))
+    got = np.concatenate([scorer.scores([t]) for t in texts])
+    assert np.abs(got - [plain_score(net, t) for t in texts]).max() < 1e-5
+    distinct = len({w for t in texts for w in t.split()})
+    assert sum(n for n in added if n > 1) == distinct  # none is computed twice, as those that come again are kept
+    assert len(scorer.index) <= 100
+
+
 def test_long_words_are_cut_in_overlapping_parts():
     for n in (1, 24, 25, 36, 37, 5000):
         word = "".join(chr(0x4E00 + k) for k in range(n))
