@@ -224,7 +224,7 @@ class Scorer:
     Inputs of gates are kept with their sign turned and those of candidates doubled, as exp takes them.
     """
 
-    def __init__(self, net: Network, cached: int = 250_000):
+    def __init__(self, net: Network, cached: int = 200_000):
         self.net, self.cached = net, cached
         p, h = net.p, HIDDEN
         turn = np.repeat(np.float32([-1, 2]), [2 * h, h])
@@ -232,9 +232,6 @@ class Scorer:
         u = [(p[f"U{way}"] * turn).T for way in "fb"]
         self.gates, self.new = [np.ascontiguousarray(x[: 2 * h]) for x in u], [np.ascontiguousarray(x[2 * h :]) for x in u]
         self.key, self.scratch = np.ascontiguousarray(2 * p["A"].T), np.empty(0, np.float32)
-        self.clear()
-
-    def clear(self) -> None:
         self.index = Numbers()
         self.table, self.seen = np.zeros((1024, 8 * HIDDEN), np.float32), np.zeros(1, np.int64)
         self.put(0, np.zeros((1, 2 * DIM), np.float32))
@@ -248,8 +245,10 @@ class Scorer:
             rows[:, h * (6 + k // 3) :][:, :h] = new - new / (1 + np.exp(rows[:, h * k : h * (k + 1)]))
 
     def rows(self, n: int) -> np.ndarray:
-        while n > len(self.table):
-            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        if n > len(self.table):
+            more = np.empty((max(n, 2 * len(self.table)), self.table.shape[1]), np.float32)  # pages that nobody fills take no memory
+            more[: len(self.table)] = self.table
+            self.table = more
         return self.table[:n]
 
     def ids(self, words: list[str]) -> np.ndarray:
@@ -258,12 +257,11 @@ class Scorer:
         out = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
         if known and len(self.index) > self.cached:
             stay = np.sort(np.argsort(-self.seen[1:], kind="stable")[: self.cached // 2])
-            names, rows, seen = list(self.index), self.table[stay + 1], self.seen[stay + 1]
-            self.clear()
-            known = len(stay)
-            self.index.update(zip([names[k] for k in stay], range(1, known + 1), strict=True))
-            self.rows(known + 1)[1:] = rows
-            self.seen = np.append(0, seen // 2)
+            names, known = list(self.index), len(stay)
+            self.index = Numbers(zip([names[k] for k in stay], range(1, known + 1), strict=True))
+            self.seen = np.append(0, self.seen[stay + 1] // 2)
+            for k in range(0, known, 8192):  # rows only move ahead
+                self.table[k + 1 : min(k + 8192, known) + 1] = self.table[stay[k : k + 8192] + 1]
             out = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
         if len(self.index) > known:
             fresh = list(islice(self.index, known, None))
